@@ -188,7 +188,7 @@ def _roll_batch(batch: pd.DataFrame, entity: str, period: str, features: list[st
         step = INDEX_WEIGHT * index_growth + (1.0 - INDEX_WEIGHT) * INDEX_GROWTH_TARGET
         index = np.where(index > 0, index * (1.0 + step), index)
 
-        lag5, lag2, lag1 = by_period[:, k], by_period[:, k + width - 2], by_period[:, k + width - 1]
+        lag5, lag2, lag1 = by_period[:, k + 1], by_period[:, k + width - 2], by_period[:, k + width - 1]
         near = np.stack([lag2, lag1], axis=1)
         seen = (~np.isnan(near)).sum(axis=1)
         latest = np.where(np.isnan(levels[:, -1]), 0.0, levels[:, -1])

@@ -225,7 +225,7 @@ def pooled_backtest(spark, d):
 
 @query(
     "project_mean_revert",
-    f"SELECT entity, CAST(t AS INTEGER) AS period, {r('u', 6, 'rate')} FROM path WHERE k > 0",
+    f"SELECT entity, CAST(t AS INTEGER) AS period, {r('u', 9, 'rate')} FROM path WHERE k > 0",
     """,
 path AS (
   SELECT entity, max(period) AS t, max_by(unemployment_rate, period) AS u, 0 AS k FROM mhist GROUP BY 1
@@ -235,7 +235,7 @@ def project_mean_revert(spark, d):
     start = b.month_history(spark, d).groupBy("entity").agg(
         F.max("period").alias("last"), F.max_by("unemployment_rate", "period").alias("rate")
     )
-    return rounded(fc.project_rate(start, "entity", "last", "rate", HORIZON, "period"), rate=6)
+    return rounded(fc.project_rate(start, "entity", "last", "rate", HORIZON, "period"), rate=9)
 
 
 @query(
@@ -258,24 +258,24 @@ ROLL_CTE = FIT_SQL + ",\n" + roll_sql("roll", "mfeat", "fit", "entity", "period"
 
 @query(
     "roll_forward",
-    f"""SELECT entity, period, {r('yhat', 0, 'yhat')}, {r('unemployment_rate', 6, 'unemployment_rate')}, {r('rent_cpi_index', 4, 'rent_cpi_index')},
+    f"""SELECT entity, period, {r('yhat', 0, 'yhat')}, {r('unemployment_rate', 9, 'unemployment_rate')}, {r('rent_cpi_index', 4, 'rent_cpi_index')},
           {r('pop_lag1', 0, 'pop_lag1')}, {r('pop_lag5', 0, 'pop_lag5')} FROM roll""",
     ROLL_CTE,
 )
 def roll_forward(spark, d):
     rows = fc.roll_forward(_features(spark, d), _ridge(spark, d), "entity", "period", REGRESSORS, horizon=HORIZON)
-    return rounded(rows.drop("pop_ma3"), yhat=0, unemployment_rate=6, rent_cpi_index=4, pop_lag1=0, pop_lag5=0)
+    return rounded(rows.drop("pop_ma3"), yhat=0, unemployment_rate=9, rent_cpi_index=4, pop_lag1=0, pop_lag5=0)
 
 
 @query(
     "future_features",
-    f"""SELECT entity, period, {r('pop_lag1', 0, 'pop_lag1')}, {r('pop_lag5', 0, 'pop_lag5')}, {r('unemployment_rate', 6, 'unemployment_rate')},
+    f"""SELECT entity, period, {r('pop_lag1', 0, 'pop_lag1')}, {r('pop_lag5', 0, 'pop_lag5')}, {r('unemployment_rate', 9, 'unemployment_rate')},
           {r('rent_cpi_index', 4, 'rent_cpi_index')}, {r('yhat', 0, 'population_implied')} FROM roll""",
     ROLL_CTE,
 )
 def future_features(spark, d):
     rows = fc.future_features(_features(spark, d), _ridge(spark, d), "entity", "period", REGRESSORS, horizon=HORIZON)
-    return rounded(rows, population_implied=0, unemployment_rate=6, rent_cpi_index=4, pop_lag1=0, pop_lag5=0)
+    return rounded(rows, population_implied=0, unemployment_rate=9, rent_cpi_index=4, pop_lag1=0, pop_lag5=0)
 
 
 START, END = 24001, 24030

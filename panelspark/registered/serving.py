@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import bindings as b
+from ..functions import codes
 from ..operators.registry import scorecard
 from ..plans import serve
 from ..plans.export import export_bundle as write_bundle
@@ -17,8 +18,8 @@ END = 2004
 
 # Models as plain data: last value times a factor, for states also in a second model.
 COEF_SQL = """coefs AS (
-  SELECT geo_code, 'linear' AS model, 10.0 AS x0, 1.01 AS x_1, 0.0 AS x_2, 0.5 AS x_3, 0.25 AS x_4 FROM (SELECT DISTINCT geo_code FROM matrix)
-  UNION ALL SELECT geo_code, 'ridge', 20.0, 0.99, 0.01, 0.5, 0.25 FROM (SELECT DISTINCT geo_code FROM matrix) WHERE length(geo_code) = 2)"""
+  SELECT geo_code, 'linear' AS model, 10e0 AS x0, 1.01e0 AS x_1, 0e0 AS x_2, 0.5e0 AS x_3, 0.25e0 AS x_4 FROM (SELECT DISTINCT geo_code FROM matrix)
+  UNION ALL SELECT geo_code, 'ridge', 20e0, 0.99e0, 0.01e0, 0.5e0, 0.25e0 FROM (SELECT DISTINCT geo_code FROM matrix) WHERE length(geo_code) = 2)"""
 
 
 def _coefs(spark, d):
@@ -48,7 +49,7 @@ def features_actual(spark, d):
 
 @query(
     "features_compare",
-    f"""SELECT a.geo_code, c.code, CAST(y.year AS INTEGER) AS year, k.actual, {r('p.projected', 2, 'projected')}
+    f"""SELECT a.geo_code, c.code, CAST(y.year AS INTEGER) AS year, k.actual, CASE c.code WHEN 'POPULATION_IMPLIED' THEN {r('p.projected', 0)} WHEN 'CPI_SHELTER' THEN {r('p.projected', 4)} ELSE {r('p.projected', 9)} END AS projected
         FROM (SELECT DISTINCT geo_code FROM (SELECT geo_code FROM known UNION ALL SELECT geo_code FROM roll)) a
         CROSS JOIN (VALUES ('ACS1_TOTAL_POP'), ('ACS5_TOTAL_POP'), ('BLS_UNRATE'), ('CPI_SHELTER'), ('POPULATION_IMPLIED')) AS c(code)
         CROSS JOIN (SELECT unnest(range(2000, 2005)) AS year) y
@@ -65,7 +66,10 @@ def features_compare(spark, d):
     rows = serve.features_compare(
         b.indicators(spark, d), b.matrix(spark, d), _coefs(spark, d), REGRESSORS, 2000, END, model="missing"
     )
-    return rounded(rows, projected=2)
+    digits = F.when(F.col("code") == serve.IMPLIED_CODE, F.round("projected", 0)).when(
+        F.col("code") == codes.SHELTER_PRICES, F.round("projected", 4)
+    )
+    return rows.withColumn("projected", digits.otherwise(F.round("projected", 9)))
 
 
 PREDICT_SQL = """SELECT geo_code, year, model, x0 + x_1 * pop_lag1 + x_2 * pop_lag5 + x_3 * unemployment_rate + x_4 * rent_cpi_index AS yhat
