@@ -44,9 +44,9 @@ def placed_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def placed_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with the area and date of their order, combined per order first."""
-    lines = (
+def lines_per_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items combined per order, before any join."""
+    return (
         table(spark, folder, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
@@ -55,145 +55,89 @@ def placed_lines(spark: SparkSession, folder: str) -> DataFrame:
             F.count("*").alias("lines"),
         )
     )
-    return placed_orders(spark, folder).join(lines, "o_orderkey")
-
-
-def _levels(*extra: str):
-    nation, state = F.lit(codes.NATION), F.col("state")
-    return F.explode(F.array(nation, state, F.concat(state, F.col("segment")))).alias("geo_code")
-
-
-def order_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Order value per nation, state and county-like area and year."""
-    finest = placed_orders(spark, folder).groupBy("state", "segment", "year").agg(
-        F.sum("price").alias("price"), F.count("*").alias("orders")
-    )
-    return (
-        finest.select(_levels(), "year", "price", "orders")
-        .groupBy("geo_code", "year")
-        .agg(F.sum("price").alias("price"), F.sum("orders").alias("orders"))
-    )
-
-
-def line_totals(spark: SparkSession, folder: str) -> DataFrame:
-    finest = placed_lines(spark, folder).groupBy("state", "segment", "year").agg(
-        F.sum("discounts").alias("discounts"), F.sum("extended").alias("extended"), F.sum("lines").alias("lines")
-    )
-    return (
-        finest.select(_levels(), "year", "discounts", "extended", "lines")
-        .groupBy("geo_code", "year")
-        .agg(
-            F.sum("discounts").alias("discounts"), F.sum("extended").alias("extended"), F.sum("lines").alias("lines")
-        )
-    )
-
-
-def population(spark: SparkSession, folder: str) -> DataFrame:
-    return order_totals(spark, folder).select(
-        "geo_code", "year", F.floor("price").cast("bigint").alias("population")
-    )
 
 
-def unemployment(spark: SparkSession, folder: str) -> DataFrame:
-    rate = F.round(F.col("discounts").cast("double") / F.col("lines") * 100.0, 4)
-    return line_totals(spark, folder).select(
-        "geo_code", "year", F.lit(codes.UNEMPLOYMENT).alias("indicator_code"), rate.alias("value")
-    )
+def placed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders that have line items, with the sums of those."""
+    return placed_orders(spark, folder).join(lines_per_order(spark, folder), "o_orderkey")
 
 
-def shelter_prices(spark: SparkSession, folder: str) -> DataFrame:
-    nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
-    area = F.explode(
-        F.array_compact(
-            F.array(
-                F.lit(codes.NATION),
-                F.when(F.col("n_regionkey") < 4, F.concat(F.lit("R"), (F.col("n_regionkey") + 1).cast("string"))),
-            )
-        )
-    )
-    by_nation = placed_orders(spark, folder).groupBy("c_nationkey", "year").agg(
-        F.sum("price").alias("price"), F.count("*").alias("orders")
-    )
-    return (
-        by_nation.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(area.alias("geo_code"), "year", "price", "orders")
-        .groupBy("geo_code", "year")
-        .agg((F.sum("price").cast("double") / F.sum("orders") / 1000.0).alias("mean"))
-        .select("geo_code", "year", F.lit(codes.SHELTER_PRICES).alias("indicator_code"), F.round("mean", 4).alias("value"))
-    )
+POPULATION = "population"
+FROM_LINES = {codes.UNEMPLOYMENT, "ACS5_TOTAL_POP"}
 
 
-def stacked_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """Population, unemployment and prices as one long table from one pass.
+def facts(spark: SparkSession, folder: str, wanted: list[str]) -> DataFrame:
+    """Sums behind the wanted kinds of facts: (geo_code, year, indicator_code, total, parts).
 
-    Each kind of fact is a sum, or a ratio of two sums, over the same orders.
+    Every kind is a sum, or a ratio of two sums, over the same orders, so one
+    pass over the raw tables gives them all. They are combined per nation,
+    segment and year before they are repeated for the nation, state and county.
     """
-    lines = (
-        table(spark, folder, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.sum(F.col("l_discount").cast(MONEY)).alias("discounts"), F.count("*").alias("lines"))
-    )
-    finest = (
-        placed_orders(spark, folder)
-        .join(lines, "o_orderkey", "left")
-        .groupBy("c_nationkey", "state", "segment", "year")
-        .agg(
-            F.sum("price").alias("price"),
-            F.count("*").alias("orders"),
-            F.sum("discounts").alias("discounts"),
-            F.sum("lines").alias("lines"),
-        )
-    )
-    of_region = regions(spark, folder).groupBy("prefix").agg(F.max("region").alias("region"))
-    placed = finest.join(F.broadcast(of_region), F.col("state") == F.col("prefix"))
+    orders = placed_orders(spark, folder)
+    sums = [F.sum("price").alias("price"), F.count("*").alias("orders")]
+    if FROM_LINES & set(wanted):
+        orders = orders.join(lines_per_order(spark, folder), "o_orderkey", "left")
+        sums += [F.sum(c).alias(c) for c in ("discounts", "extended", "lines")]
+    finest = orders.groupBy("c_nationkey", "state", "segment", "year").agg(*sums)
+    if codes.SHELTER_PRICES in wanted:
+        # Prefixes have two digits: at most 100 rows.
+        of_region = regions(spark, folder).filter(F.col("prefix").rlike(codes.STATE_PATTERN))
+        of_region = of_region.groupBy("prefix").agg(F.max("region").alias("region"))
+        finest = finest.join(F.broadcast(of_region), F.col("state") == F.col("prefix"), "left")
 
-    def fact(area, code, total, parts):
+    nation, state, county = F.lit(codes.NATION), F.col("state"), F.concat("state", "segment")
+    even_county = F.when(F.col("c_nationkey") % 2 == 0, county)
+    kinds = {
+        POPULATION: ([nation, state, county], "price", None),
+        codes.UNEMPLOYMENT: ([nation, state, county], "discounts", "lines"),
+        codes.SHELTER_PRICES: ([nation, F.col("region") if codes.SHELTER_PRICES in wanted else nation], "price", "orders"),
+        "ACS1_TOTAL_POP": ([nation, state, even_county], "price", None),
+        "ACS5_TOTAL_POP": ([nation, state, county], "extended", None),
+    }
+
+    def entry(area, kind, total, parts):
         return F.struct(
-            area.alias("geo_code"), F.lit(code).alias("indicator_code"), total.alias("total"), parts.alias("parts")
+            area.alias("geo_code"),
+            F.lit(kind).alias("indicator_code"),
+            F.col(total).cast("decimal(28,2)").alias("total"),
+            (F.col(parts) if parts else F.lit(None)).cast("bigint").alias("parts"),
         )
 
-    nation, state, county = F.lit(codes.NATION), F.col("state"), F.concat("state", "segment")
-    price, one = F.col("price").cast("decimal(28,2)"), F.lit(None).cast("bigint")
-    discounts = F.col("discounts").cast("decimal(28,2)")
-    facts = F.array(
-        *[fact(area, "population", price, one) for area in (nation, state, county)],
-        *[fact(area, codes.UNEMPLOYMENT, discounts, F.col("lines")) for area in (nation, state, county)],
-        *[fact(area, codes.SHELTER_PRICES, price, F.col("orders")) for area in (nation, F.col("region"))],
-    )
-    sums = (
-        placed.select("year", F.inline(facts))
-        .filter(F.col("geo_code").isNotNull())
+    entries = [entry(area, k, kinds[k][1], kinds[k][2]) for k in wanted for area in kinds[k][0]]
+    return (
+        finest.select("year", F.inline(F.array(*entries)))
+        .filter(F.col("geo_code").isNotNull() & F.col("total").isNotNull())
         .groupBy("geo_code", "year", "indicator_code")
         .agg(F.sum("total").alias("total"), F.sum("parts").alias("parts"))
     )
-    mean = F.col("total").cast("double") / F.col("parts")
-    value = (
-        F.when(F.col("indicator_code") == "population", F.floor("total").cast("double"))
-        .when(F.col("indicator_code") == codes.UNEMPLOYMENT, F.round(mean * 100.0, 4))
-        .otherwise(F.round(mean / 1000.0, 4))
-    )
-    return sums.select("geo_code", "year", "indicator_code", value.alias("value")).filter(F.col("value").isNotNull())
 
 
-def matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return matrix_from_facts(
-        stacked_facts(spark, folder), shelter_prices(spark, folder), regions(spark, folder), FLOOR_YEAR
+def _value():
+    """Whole sums for populations, a percentage for rates, thousands for prices."""
+    mean = F.col("total").cast("double") / F.col("parts")
+    return (
+        F.when(F.col("indicator_code") == codes.UNEMPLOYMENT, F.round(mean * 100.0, 4))
+        .when(F.col("indicator_code") == codes.SHELTER_PRICES, F.round(mean / 1000.0, 4))
+        .otherwise(F.floor("total").cast("double"))
     )
 
 
-def joined(spark: SparkSession, folder: str) -> DataFrame:
-    return joined_features(stacked_facts(spark, folder), shelter_prices(spark, folder), regions(spark, folder))
+def valued(sums: DataFrame) -> DataFrame:
+    return sums.select("geo_code", "year", "indicator_code", _value().alias("value"))
 
 
-def regions(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "nation").select(
-        F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0").alias("prefix"),
-        F.when(F.col("n_regionkey") < 4, F.concat(F.lit("R"), (F.col("n_regionkey") + 1).cast("string"))).alias("region"),
+def population(spark: SparkSession, folder: str) -> DataFrame:
+    return facts(spark, folder, [POPULATION]).select(
+        "geo_code", "year", F.floor("total").cast("bigint").alias("population")
     )
 
 
-def _is_even_state():
-    return (F.substring("geo_code", 1, 2).try_cast("int") - 1) % 2 == 0
+def unemployment(spark: SparkSession, folder: str) -> DataFrame:
+    return valued(facts(spark, folder, [codes.UNEMPLOYMENT]))
+
+
+def shelter_prices(spark: SparkSession, folder: str) -> DataFrame:
+    return valued(facts(spark, folder, [codes.SHELTER_PRICES]))
 
 
 def survey_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,47 +145,57 @@ def survey_rows(spark: SparkSession, folder: str) -> DataFrame:
 
     ACS1 has counties for even nations only.
     """
-    kind = codes.area_type(F.col("geo_code"))
-    first = (
-        population(spark, folder)
-        .filter((kind != "county") | _is_even_state())
-        .withColumn("source", F.lit("ACS1"))
-    )
-    second = line_totals(spark, folder).select(
-        "geo_code", "year", F.floor("extended").cast("bigint").alias("population"), F.lit("ACS5").alias("source")
-    )
-    return first.unionByName(second).select(
+    sums = facts(spark, folder, list(codes.SURVEY_INDICATORS.values()))
+    return sums.select(
         "geo_code",
         F.concat(F.lit("Area "), "geo_code").alias("geo_name"),
-        kind.alias("geo_type"),
+        codes.area_type(F.col("geo_code")).alias("geo_type"),
         "year",
-        "source",
-        "population",
+        F.substring("indicator_code", 1, 4).alias("source"),
+        F.floor("total").cast("bigint").alias("population"),
     )
 
 
 def indicators(spark: SparkSession, folder: str) -> DataFrame:
     """All four indicators in one long table with source, unit and batch."""
-    mirrors = survey_rows(spark, folder).select(
-        "geo_code",
-        "year",
-        codes.survey_indicator(F.col("source")).alias("indicator_code"),
-        F.col("population").cast("double").alias("value"),
-        "source",
-        F.lit("count").alias("unit"),
-    )
-    rates = unemployment(spark, folder).withColumns({"source": F.lit("BLS"), "unit": F.lit("percent")})
-    prices = shelter_prices(spark, folder).withColumns({"source": F.lit("FRED"), "unit": F.lit("index")})
-    return (
-        mirrors.unionByName(rates)
-        .unionByName(prices)
-        .withColumns({"etl_batch_id": F.lit(BATCH), "updated_at": F.lit("2024-01-01")})
+    code = F.col("indicator_code")
+    wanted = [*codes.SURVEY_INDICATORS.values(), codes.UNEMPLOYMENT, codes.SHELTER_PRICES]
+    return valued(facts(spark, folder, wanted)).withColumns(
+        {
+            "source": F.when(code == codes.UNEMPLOYMENT, "BLS")
+            .when(code == codes.SHELTER_PRICES, "FRED")
+            .otherwise(F.substring(code, 1, 4)),
+            "unit": F.when(code == codes.UNEMPLOYMENT, "percent").when(code == codes.SHELTER_PRICES, "index").otherwise("count"),
+            "etl_batch_id": F.lit(BATCH),
+            "updated_at": F.lit("2024-01-01"),
+        }
     )
 
 
 def model_indicators(spark: SparkSession, folder: str) -> DataFrame:
     """The two indicators that the feature matrix reads."""
-    return unemployment(spark, folder).unionByName(shelter_prices(spark, folder))
+    return valued(facts(spark, folder, [codes.UNEMPLOYMENT, codes.SHELTER_PRICES]))
+
+
+def stacked_facts(spark: SparkSession, folder: str) -> DataFrame:
+    return valued(facts(spark, folder, [POPULATION, codes.UNEMPLOYMENT, codes.SHELTER_PRICES]))
+
+
+def matrix(spark: SparkSession, folder: str) -> DataFrame:
+    return matrix_from_facts(
+        stacked_facts(spark, folder), shelter_prices(spark, folder), regions(spark, folder), FLOOR_YEAR
+    )
+
+
+def joined(spark: SparkSession, folder: str) -> DataFrame:
+    return joined_features(stacked_facts(spark, folder), shelter_prices(spark, folder), regions(spark, folder))
+
+
+def regions(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "nation").select(
+        F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0").alias("prefix"),
+        F.when(F.col("n_regionkey") < 4, F.concat(F.lit("R"), (F.col("n_regionkey") + 1).cast("string"))).alias("region"),
+    )
 
 
 def geography(spark: SparkSession, folder: str) -> DataFrame:

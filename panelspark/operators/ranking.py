@@ -31,24 +31,31 @@ def newest_first(col: str) -> Column:
 
 
 def with_row_number(
-    df: DataFrame, by: list[str], ascending: list[Column], name: str, smallest_split: int = 100_000
+    df: DataFrame,
+    by: list[str],
+    ascending: list[Column],
+    name: str,
+    smallest_split: int = 100_000,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each group by the given ascending keys.
 
     The keys must be unique within a group. A first, column-pruned job counts
-    the groups and fetches those above 1/SHARE of all rows; there are at most
-    SHARE of them. Without any, this is a plain window. Otherwise a hash sample
+    the rows of each group in ``counted`` (a cheaper table with the same groups,
+    ``df`` itself if not given) and looks for groups above 1/SHARE of all rows;
+    there are at most SHARE of them. Without any, this is a plain window. Otherwise a hash sample
     of the sort keys of the large groups gives cut points; it decides only
     where ranges begin, every row is ranked.
     """
     key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(ascending)])
     group = by or ["_all"]
     keyed = df if by else df.withColumn("_all", F.lit(0))
-    sizes = keyed.groupBy(*group).agg(F.count("*").alias("_n"))
-    total = sizes.agg(F.sum("_n")).first()[0] or 0
-    limit = max(total // SHARE, smallest_split)
+    source = keyed if counted is None else counted if by else counted.withColumn("_all", F.lit(0))
+    sizes = source.groupBy(*group).agg(F.count("*").alias("_n"))
+    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    limit = max((total or 0) // SHARE, smallest_split)
     large = sizes.filter(F.col("_n") > limit)
-    if total <= limit or large.isEmpty():
+    if (largest or 0) <= limit:
         numbered = keyed.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(key)))
         return numbered if by else numbered.drop("_all")
 

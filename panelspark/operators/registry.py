@@ -33,8 +33,8 @@ def leaderboard(runs: DataFrame, metrics: DataFrame, smallest_split: int = 100_0
     """Rank of every run within its area, and within area and model."""
     order = [*nulls_last("rmse_test"), newest_first("trained_at"), F.col("run_id")]
     scored = scored_runs(runs, metrics)
-    ranked = with_row_number(scored, ["geo_code", "model"], order, "rank_within_model", smallest_split)
-    return with_row_number(ranked, ["geo_code"], order, "rank_within_geo_code", smallest_split)
+    ranked = with_row_number(scored, ["geo_code", "model"], order, "rank_within_model", smallest_split, runs)
+    return with_row_number(ranked, ["geo_code"], order, "rank_within_geo_code", smallest_split, runs)
 
 
 def scorecard(runs: DataFrame, metrics: DataFrame, areas: list[str] | None = None) -> DataFrame:

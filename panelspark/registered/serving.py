@@ -10,7 +10,7 @@ from ..operators.registry import scorecard
 from ..plans import serve
 from ..plans.export import export_bundle as write_bundle
 from ..plans.features import REGRESSORS
-from ..session import fresh_dir
+from ..session import fresh_dir, stored
 from .base import query, r, rounded
 from .model_sql import roll_sql
 
@@ -22,8 +22,8 @@ COEF_SQL = """coefs AS (
   UNION ALL SELECT geo_code, 'ridge', 20e0, 0.99e0, 0.01e0, 0.5e0, 0.25e0 FROM (SELECT DISTINCT geo_code FROM matrix) WHERE length(geo_code) = 2)"""
 
 
-def _coefs(spark, d):
-    areas = b.matrix(spark, d).select("geo_code").distinct()
+def _coefs(matrix):
+    areas = matrix.select("geo_code").distinct()
 
     def model(name, intercept, coef):
         return F.struct(
@@ -63,8 +63,9 @@ def features_actual(spark, d):
 )
 def features_compare(spark, d):
     """Asks for a model nobody has, so each area falls back to one it has."""
+    matrix = stored(b.matrix(spark, d), "matrix")
     rows = serve.features_compare(
-        b.indicators(spark, d), b.matrix(spark, d), _coefs(spark, d), REGRESSORS, 2000, END, model="missing"
+        b.indicators(spark, d), matrix, _coefs(matrix), REGRESSORS, 2000, END, model="missing"
     )
     digits = F.when(F.col("code") == serve.IMPLIED_CODE, F.round("projected", 0)).when(
         F.col("code") == codes.SHELTER_PRICES, F.round("projected", 4)
@@ -93,7 +94,8 @@ def _rolls(history):
 def export_bundle(spark, d):
     """The predictions of an export, read back from its files."""
     root = fresh_dir(spark, "export")
-    write_bundle(root, b.indicators(spark, d), b.matrix(spark, d), b.population(spark, d), _coefs(spark, d), REGRESSORS, 2000, END)
+    matrix, people = stored(b.matrix(spark, d), "matrix"), stored(b.population(spark, d), "population")
+    write_bundle(root, b.indicators(spark, d), matrix, people, _coefs(matrix), REGRESSORS, 2000, END)
     schema = "geo_code string, year int, predicted double, actual double, model string"
     rows = spark.read.schema(schema).option("header", True).csv(f"{root}/predictions")
     return rounded(rows, predicted=0)
@@ -116,7 +118,8 @@ def best_model_series(spark, d):
     """Each area's best run decides the label; all labels share one set of coefficients."""
     card = scorecard(b.runs(spark, d), b.metrics(spark, d))
     names = F.explode(F.array(*[F.lit(m) for m in b.RUN_MODELS]))
-    coefs = _coefs(spark, d).filter(F.col("model") == "ridge").withColumn("model", names)
+    matrix = stored(b.matrix(spark, d), "matrix")
+    coefs = _coefs(matrix).filter(F.col("model") == "ridge").withColumn("model", names)
     people = b.population(spark, d).filter(F.length("geo_code") == 2)
-    rows = serve.best_model_series(card, coefs, b.matrix(spark, d), people, REGRESSORS, 1999, END)
+    rows = serve.best_model_series(card, coefs, matrix, people, REGRESSORS, 1999, END)
     return rounded(rows, yhat=0)

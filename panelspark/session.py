@@ -55,3 +55,14 @@ def checkpointed(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(directory)
     return df.checkpoint(eager=True)
+
+
+def stored(df, label: str):
+    """Write an intermediate table to the shared folder and read it back.
+
+    Used where several parts of a job read the same result: it is computed once,
+    survives the loss of executors, and reads keep column pruning and pushdown.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
