@@ -1,12 +1,14 @@
 """The generated star-schema tables read as panel inputs.
 
-Money is summed as decimals, so results do not depend on the order of rows.
+Money is summed as whole cents, so results do not depend on the order of rows
+and sums stay in primitive buffers; an overflow would be an error.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .functions import codes
 from .operators.panel import with_lags
@@ -18,11 +20,26 @@ RUN_MODELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 FLOOR_YEAR = 1996
 BATCH = "batch_1"
 
-MONEY = "decimal(18,2)"
+
+
+def cents(amount: str):
+    return F.round(F.col(amount) * 100).cast("bigint")
+
+
+def money(total):
+    """Cents as an amount."""
+    return total.cast("double") / 100.0
+
+
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A raw table. Its schema is read from the files once, not on every use."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def placed_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,7 +52,7 @@ def placed_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         "o_orderkey",
         "o_custkey",
-        F.col("o_totalprice").cast(MONEY).alias("price"),
+        cents("o_totalprice").alias("price"),
         F.year("o_orderdate").alias("year"),
         F.month("o_orderdate").alias("month"),
     )
@@ -50,8 +67,8 @@ def lines_per_order(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
-            F.sum(F.col("l_discount").cast(MONEY)).alias("discounts"),
-            F.sum(F.col("l_extendedprice").cast(MONEY)).alias("extended"),
+            F.sum(cents("l_discount")).alias("discounts"),
+            F.sum(cents("l_extendedprice")).alias("extended"),
             F.count("*").alias("lines"),
         )
     )
@@ -99,7 +116,7 @@ def facts(spark: SparkSession, folder: str, wanted: list[str]) -> DataFrame:
         return F.struct(
             area.alias("geo_code"),
             F.lit(kind).alias("indicator_code"),
-            F.col(total).cast("decimal(28,2)").alias("total"),
+            F.col(total).cast("decimal(28,0)").alias("total"),
             (F.col(parts) if parts else F.lit(None)).cast("bigint").alias("parts"),
         )
 
@@ -114,11 +131,11 @@ def facts(spark: SparkSession, folder: str, wanted: list[str]) -> DataFrame:
 
 def _value():
     """Whole sums for populations, a percentage for rates, thousands for prices."""
-    mean = F.col("total").cast("double") / F.col("parts")
+    mean = money(F.col("total")) / F.col("parts")
     return (
         F.when(F.col("indicator_code") == codes.UNEMPLOYMENT, F.round(mean * 100.0, 4))
         .when(F.col("indicator_code") == codes.SHELTER_PRICES, F.round(mean / 1000.0, 4))
-        .otherwise(F.floor("total").cast("double"))
+        .otherwise(F.floor(F.col("total") / 100).cast("double"))
     )
 
 
@@ -128,7 +145,7 @@ def valued(sums: DataFrame) -> DataFrame:
 
 def population(spark: SparkSession, folder: str) -> DataFrame:
     return facts(spark, folder, [POPULATION]).select(
-        "geo_code", "year", F.floor("total").cast("bigint").alias("population")
+        "geo_code", "year", F.floor(F.col("total") / 100).cast("bigint").alias("population")
     )
 
 
@@ -152,7 +169,7 @@ def survey_rows(spark: SparkSession, folder: str) -> DataFrame:
         codes.area_type(F.col("geo_code")).alias("geo_type"),
         "year",
         F.substring("indicator_code", 1, 4).alias("source"),
-        F.floor("total").cast("bigint").alias("population"),
+        F.floor(F.col("total") / 100).cast("bigint").alias("population"),
     )
 
 
@@ -182,13 +199,14 @@ def stacked_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return matrix_from_facts(
-        stacked_facts(spark, folder), shelter_prices(spark, folder), regions(spark, folder), FLOOR_YEAR
-    )
+    """Facts and fallback prices come from the same sums, so Spark reuses their shuffle."""
+    known = stacked_facts(spark, folder)
+    return matrix_from_facts(known, known, regions(spark, folder), FLOOR_YEAR)
 
 
 def joined(spark: SparkSession, folder: str) -> DataFrame:
-    return joined_features(stacked_facts(spark, folder), shelter_prices(spark, folder), regions(spark, folder))
+    known = stacked_facts(spark, folder)
+    return joined_features(known, known, regions(spark, folder))
 
 
 def regions(spark: SparkSession, folder: str) -> DataFrame:
@@ -255,7 +273,7 @@ def month_panel(spark: SparkSession, folder: str) -> DataFrame:
     return (
         placed_orders(spark, folder)
         .groupBy("c_nationkey", "year", "month")
-        .agg(F.sum("price").cast("double").alias("value"))
+        .agg(money(F.sum("price")).alias("value"))
         .select(F.col("c_nationkey").alias("entity"), _period(), "value")
     )
 
@@ -265,9 +283,9 @@ def month_history(spark: SparkSession, folder: str) -> DataFrame:
     return month_values(spark, folder).select(
         F.col("c_nationkey").alias("entity"),
         _period(),
-        F.col("price").cast("double").alias("population"),
-        (F.col("discounts").cast("double") / F.col("lines") * 100.0).alias("unemployment_rate"),
-        (F.col("price").cast("double") / F.col("orders") / 1000.0).alias("rent_cpi_index"),
+        money(F.col("price")).alias("population"),
+        (money(F.col("discounts")) / F.col("lines") * 100.0).alias("unemployment_rate"),
+        (money(F.col("price")) / F.col("orders") / 1000.0).alias("rent_cpi_index"),
     )
 
 
@@ -286,7 +304,7 @@ def monthly_points(spark: SparkSession, folder: str) -> DataFrame:
     A dot stands for February of every fifth nation. Every twelfth series has an
     id of unknown kind.
     """
-    whole = F.floor(F.col("price") / 1000).cast("bigint")
+    whole = F.expr("price div 100000")
     months = (
         placed_orders(spark, folder)
         .groupBy("c_nationkey", "year", "month")
@@ -376,7 +394,7 @@ def price_observations(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("series_id", "year", "month")
         .agg(F.sum("price").alias("price"), F.sum("orders").alias("orders"))
     )
-    text = F.floor(F.col("price").cast("decimal(28,2)") / F.col("orders")).cast("bigint").cast("string")
+    text = F.expr("price div (orders * 100)").cast("string")
     return sums.select(
         "series_id",
         F.make_date("year", "month", F.lit(1)).alias("obs_date"),
@@ -438,7 +456,7 @@ def order_rows(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("key"),
         F.col("o_custkey").alias("cust"),
-        F.col("o_totalprice").cast(MONEY).cast("double").alias("value"),
+        F.col("o_totalprice").alias("value"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
         F.col("o_orderpriority").alias("source"),
     )
