@@ -25,7 +25,9 @@ TREND_PRIOR = 5.0
 REGRESSOR_PRIOR = 10.0
 CHANGEPOINT_RANGE = 0.8
 # -----------------------------------------------------------------------------
-NOISE_SCALE = 0.05
+FIRST_NOISE = 0.05   # share of the largest value
+LEAST_NOISE = 1e-4
+NOISE_ROUNDS = 6
 
 
 def _moments(features: list[str], target: str, over=None) -> list[Column]:
@@ -198,7 +200,8 @@ def fit_trend(
     train: DataFrame, entity: str, period: str, target: str, regressors: list[str], changepoints: int = 5
 ) -> DataFrame:
     """Piecewise linear trend plus regressors, an approximation of a Bayesian
-    structural trend: Gaussian priors instead of Laplace ones on slope changes.
+    structural trend: Gaussian priors instead of Laplace ones on slope changes,
+    and the noise level found by a few rounds of fitting and measuring residuals.
 
     Gives coefficients in data units, the time scale, and the residual deviation.
     """
@@ -235,13 +238,17 @@ def fit_trend(
             gram, cross = full[:, :-1, :-1], full[:, :-1, -1]
             spread = np.sqrt(np.einsum("nii->ni", gram) / n[:, None])
             unit = np.where(fixed_unit[None, :], 1.0, np.where(spread > 0, spread, 1.0))
-            penalty = (NOISE_SCALE / prior[None, :]) ** 2 * unit**2
-            coef = solve_centred(gram, cross, penalty)
-            sse = (
-                full[:, -1, -1]
-                - 2 * np.einsum("ni,ni->n", coef, cross)
-                + np.einsum("ni,nij,nj->n", coef, gram, coef)
-            )
+            noise = np.full(len(batch), FIRST_NOISE)
+            for _ in range(NOISE_ROUNDS):
+                penalty = (noise[:, None] / prior[None, :]) ** 2 * unit**2
+                coef = solve_centred(gram, cross, penalty)
+                sse = (
+                    full[:, -1, -1]
+                    - 2 * np.einsum("ni,ni->n", coef, cross)
+                    + np.einsum("ni,nij,nj->n", coef, gram, coef)
+                )
+                deviation = np.sqrt(np.maximum(sse, 0.0) / n)
+                noise = np.maximum(deviation / top, LEAST_NOISE)
             yield pd.DataFrame(
                 {
                     entity: batch[entity],
@@ -249,7 +256,7 @@ def fit_trend(
                     "t_span": batch["t_span"],
                     "coef": list(coef),
                     "intercept": means[:, -1] - np.einsum("ni,ni->n", coef, means[:, :-1]),
-                    "residual_std": np.sqrt(np.maximum(sse, 0.0) / n),
+                    "residual_std": deviation,
                     "train_rows": batch["n"],
                 }
             )

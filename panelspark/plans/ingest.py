@@ -135,10 +135,11 @@ def load_surveys(core: CoreTables, staged: DataFrame, rows: DataFrame, batch: st
 def load_unemployment(core: CoreTables, points: DataFrame, batch: str) -> Batch:
     """State and county unemployment from monthly or annual points.
 
-    Years whose values are all missing never reach the core tables.
+    Years that cannot be read, or whose values are all missing, never reach the
+    core tables.
     """
     staged = decoded_series(annual_preferred(points)).withColumn("etl_batch_id", F.lit(batch))
-    rates = stage_rollup(scan_batch(staged, batch)).filter(F.col("unrate").isNotNull())
+    rates = stage_rollup(scan_batch(staged, batch)).filter(F.col("unrate").isNotNull() & F.col("year").isNotNull())
     areas = rates.select("geo_code", F.col("geo_code").alias("geo_name"), "geo_type").distinct()
     rows = rates.select(
         "geo_code",
@@ -169,7 +170,7 @@ def _nation_row(like: DataFrame) -> DataFrame:
 
 def load_national_unemployment(core: CoreTables, points: DataFrame, batch: str) -> Batch:
     staged = annual_preferred(points).withColumn("etl_batch_id", F.lit(batch))
-    rows = staged.filter(F.col("value").isNotNull()).select(
+    rows = staged.filter(F.col("value").isNotNull() & F.col("year").isNotNull()).select(
         F.lit(codes.NATION).alias("geo_code"),
         "year",
         F.lit(codes.UNEMPLOYMENT).alias("indicator_code"),
@@ -198,7 +199,7 @@ def load_prices(core: CoreTables, observations: DataFrame, batch: str) -> Batch:
             "geo_code": codes.price_area_code(F.col("series_id")),
             "geo_name": codes.price_area_name(F.col("series_id")),
         }
-    ).filter(F.col("geo_code").isNotNull() & F.col("value").isNotNull())
+    ).filter(F.col("geo_code").isNotNull() & F.col("value").isNotNull() & F.col("year").isNotNull())
     areas = placed.select("geo_code", "geo_name", codes.price_area_type(F.col("geo_code")).alias("geo_type")).distinct()
     rows = placed.select(
         "geo_code",
