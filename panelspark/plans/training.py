@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.guarded import year_end
@@ -10,9 +12,12 @@ from ..operators.backtest import is_train
 from ..operators.boosted import ROUNDS, fit_boosted, score_boosted
 from ..operators.forecast import backcast_and_naive_future
 from ..operators.metrics import as_metric_rows, forecast_metrics
-from ..operators.panel import fingerprint
-from ..operators.registry import drift_todo, qualifying_entities
+from ..operators.panel import fingerprint, union_all
+from ..operators.registry import drift_todo, ensure_pointers, point_latest_and_best, qualifying_entities
 from ..operators.regression import fit_linear, fit_trend, score_trend
+from ..session import stored
+from ..sources.models import load_models, save_models
+from ..sources.snapshots import publish, read_snapshot
 from .features import HASHED_COLUMNS
 from .serve import attach_actuals
 
@@ -74,6 +79,33 @@ def run_metrics(dated: DataFrame, by: list[str], split: int) -> DataFrame:
     return everything.unionByName(held_out)
 
 
+def run_id_of(split: int) -> Column:
+    """Run ids derive from area, model, data and split: a task that runs twice
+    yields the same id."""
+    return F.md5(F.concat_ws("|", "geo_code", "model", "live_hash", F.lit(str(split)))).alias("run_id")
+
+
+def run_rows(matrix: DataFrame, todo: DataFrame, features: list[str], split: int, horizon: int) -> DataFrame:
+    """One registry row per trained pair, with its data span and settings."""
+    sizes = matrix.groupBy("geo_code").agg(
+        F.count("*").alias("rows"),
+        F.min("year").alias("year_min"),
+        F.max("year").alias("year_max"),
+        F.count_if(is_train("year", split)).alias("train_rows"),
+        F.count_if(~is_train("year", split)).alias("test_rows"),
+    )
+    params = F.to_json(
+        F.struct(
+            F.array(*[F.lit(f) for f in features]).alias("features"),
+            F.when(F.col("model") == "ridge", F.lit(RIDGE_ALPHA)).alias("alpha"),
+        )
+    )
+    runs = todo.select(run_id_of(split), "geo_code", "model", F.col("live_hash").alias("data_hash"))
+    return runs.join(sizes, "geo_code").withColumns(
+        {"split_year": F.lit(split), "horizon": F.lit(horizon), "params": params}
+    )
+
+
 def train_all(
     matrix: DataFrame,
     population: DataFrame,
@@ -86,31 +118,75 @@ def train_all(
     horizon: int = HORIZON,
     rounds: int = ROUNDS,
     force: bool = False,
+    keep_models: Callable[[DataFrame], None] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Run rows, forecasts and metrics of every pair the plan lists.
 
-    One job per family covers all its areas. Run ids derive from area, model
-    and data hash, so a task that runs twice yields the same id.
+    One job per family covers all its areas. ``keep_models`` receives the
+    coefficients of each family with their run ids.
     """
     models = models or FAMILIES
-    todo = training_plan(matrix, pointers, models, min_years=min_years, force=force)
-    forecasts = None
+    todo = stored(training_plan(matrix, pointers, models, min_years=min_years, force=force), "todo")
+    runs = run_rows(matrix, todo, features, split, horizon)
+    ids = todo.select(run_id_of(split), "geo_code", "model")
+    parts = []
     for model in models:
         areas = todo.filter(F.col("model") == model).select("geo_code")
-        _, own = train_family(
-            matrix.join(areas, "geo_code", "left_semi"), model, features, split=split, horizon=horizon, rounds=rounds
-        )
-        forecasts = own if forecasts is None else forecasts.unionByName(own, allowMissingColumns=True)
-    run_id = F.md5(F.concat_ws("|", "geo_code", "model", "live_hash", F.lit(split).cast("string"))).alias("run_id")
-    sizes = matrix.groupBy("geo_code").agg(
-        F.count("*").alias("rows"),
-        F.min("year").alias("year_min"),
-        F.max("year").alias("year_max"),
-        F.count_if(is_train("year", split)).alias("train_rows"),
-        F.count_if(~is_train("year", split)).alias("test_rows"),
+        if areas.isEmpty():
+            continue
+        own = matrix.join(areas, "geo_code", "left_semi")
+        coefs, forecasts = train_family(own, model, features, split=split, horizon=horizon, rounds=rounds)
+        if coefs is not None and keep_models is not None:
+            keep_models(coefs.join(ids, ["geo_code", "model"]))
+        parts.append(forecasts)
+    if not parts:
+        parts = [todo.limit(0).select("geo_code", F.lit(0).alias("year"), "model", F.lit(0.0).alias("yhat"))]
+    dated = dated_forecasts(union_all(parts, relaxed=True), population).join(ids, ["geo_code", "model"])
+    return runs, dated, run_metrics(dated, ["run_id"], split)
+
+
+POINTER_SCHEMA = (
+    "geo_code string, model string, data_hash string, trained_at timestamp, rows bigint, year_min int, year_max int,"
+    " artifact_path string, latest_run_id string, best_run_id string"
+)
+
+
+def record_training(root: str, matrix: DataFrame, population: DataFrame, features: list[str], **options) -> int:
+    """The nightly job: train what changed and record it below ``root``.
+
+    Coefficients, forecasts, metrics and runs are appended, then a new version
+    of the pointers is published. Returns the number of recorded runs. A job
+    that dies before the last step leaves the pointers as they were, and the
+    next one trains the same pairs again.
+    """
+    spark = matrix.sparkSession
+    schema = spark.createDataFrame([], POINTER_SCHEMA).schema
+    pointers = read_snapshot(spark, f"{root}/pointers", schema)
+    runs, dated, _ = train_all(
+        matrix, population, pointers, features, **options, keep_models=lambda c: save_models(c, f"{root}/models", "geo_code")
     )
-    runs = todo.select(run_id, "geo_code", "model", F.col("live_hash").alias("data_hash")).join(sizes, "geo_code").withColumns(
-        {"split_year": F.lit(split), "horizon": F.lit(horizon)}
+    fresh = stored(
+        runs.withColumns({"trained_at": F.current_timestamp(), "artifact_path": F.concat(F.lit(f"{root}/models/model="), "model")}),
+        "runs",
     )
-    dated = dated_forecasts(forecasts, population).join(runs.select("run_id", "geo_code", "model"), ["geo_code", "model"])
-    return runs, dated, run_metrics(dated, ["run_id"], split)
+    count = fresh.count()
+    if count == 0:
+        return 0
+    kept = stored(dated, "forecasts")
+    split = options.get("split", SPLIT_YEAR)
+    kept.write.mode("append").partitionBy("model").parquet(f"{root}/forecasts")
+    run_metrics(kept, ["run_id"], split).write.mode("append").parquet(f"{root}/metrics")
+    fresh.write.mode("append").parquet(f"{root}/runs")
+    known, measured = spark.read.parquet(f"{root}/runs"), spark.read.parquet(f"{root}/metrics")
+    pointed = point_latest_and_best(ensure_pointers(pointers, fresh), known, measured)
+    publish(pointed, f"{root}/pointers")
+    return count
+
+
+def serving_models(spark: SparkSession, root: str, run_ids: list[str] | None = None) -> DataFrame:
+    """Coefficients of each area and model's best run, or of the given runs."""
+    coefs = load_models(spark, f"{root}/models").dropDuplicates(["run_id"])
+    if run_ids is not None:
+        return coefs.filter(F.col("run_id").isin(run_ids))
+    best = read_snapshot(spark, f"{root}/pointers").select(F.col("best_run_id").alias("run_id"))
+    return coefs.join(best, "run_id", "left_semi")

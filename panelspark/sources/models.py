@@ -7,13 +7,24 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 
-MODEL_COLUMNS = ["features", "coef", "intercept", "use_delta", "rename_map"]
+MODEL_COLUMNS = ["features", "coef", "intercept"]
+
+
+OPTIONAL_COLUMNS = {
+    "use_delta": "boolean",
+    "rename_map": "map<string,string>",
+    "run_id": "string",
+    "t0": "double",
+    "t_span": "double",
+    "residual_std": "double",
+}
 
 
 def save_models(coefs: DataFrame, path: str, entity: str) -> None:
-    if "rename_map" not in coefs.columns:
-        coefs = coefs.withColumn("rename_map", F.create_map().cast("map<string,string>"))
-    coefs.select(entity, "model", *MODEL_COLUMNS).write.mode("append").partitionBy("model").parquet(path)
+    """Append coefficients; all families share one layout, unused parts stay empty."""
+    absent = {c: F.lit(None).cast(kind) for c, kind in OPTIONAL_COLUMNS.items() if c not in coefs.columns}
+    full = coefs.withColumns(absent).select(entity, "model", *MODEL_COLUMNS, *OPTIONAL_COLUMNS)
+    full.write.mode("append").partitionBy("model").parquet(path)
 
 
 def load_models(spark: SparkSession, path: str, models: list[str] | None = None) -> DataFrame:

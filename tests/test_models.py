@@ -10,7 +10,9 @@ from panelspark.operators import forecast as fc
 from panelspark.operators.boosted import fit_boosted, score_boosted
 from panelspark.operators.regression import fit_linear, fit_trend, score_trend
 from panelspark.plans.features import REGRESSORS
-from panelspark.plans.training import train_all, training_plan
+from panelspark.plans.training import record_training, serving_models, train_all, training_plan
+from panelspark.session import fresh_dir
+from panelspark.sources.snapshots import read_snapshot
 
 COLUMNS = "e string, t int, population double, pop_lag1 double, pop_lag5 double, unemployment_rate double, rent_cpi_index double"
 
@@ -240,3 +242,22 @@ def test_training_is_gated_by_the_data_hash(spark):
     }
     assert forecasts.filter("model = 'linear'").count() == 15 and forecasts.filter("actual is null").count() == 9
     assert {r["scope"] for r in metrics.collect()} == {"test", "holdout"}
+
+
+def test_recorded_training_serves_best_runs_and_rests_when_nothing_changed(spark):
+    matrix = spark.createDataFrame(panel(2, 12), COLUMNS).withColumnsRenamed({"e": "geo_code", "t": "year"}).withColumns(
+        {"pop_ma3": F.lit(0.0), "pop_yoy_growth_pct": F.lit(0.0), "pop_cagr_5yr_pct": F.lit(0.0), "has_full_features": F.lit(True)}
+    )
+    people, root = matrix.select("geo_code", "year", "population"), fresh_dir(spark, "registry")
+    options = {"models": ["linear", "ridge"], "split": 2008, "horizon": 2}
+    assert record_training(root, matrix, people, REGRESSORS, **options) == 4
+    assert record_training(root, matrix, people, REGRESSORS, **options) == 0
+    assert serving_models(spark, root).count() == 4
+    changed = matrix.withColumn("population", F.when(F.col("geo_code") == "e0", F.col("population") + 1).otherwise(F.col("population")))
+    assert record_training(root, changed, people, REGRESSORS, **options) == 2
+    pointers = read_snapshot(spark, f"{root}/pointers").collect()
+    assert len(pointers) == 4 and all(r["latest_run_id"] and r["best_run_id"] and r["rows"] == 12 for r in pointers)
+    assert serving_models(spark, root).count() == 4
+    assert serving_models(spark, root, [pointers[0]["latest_run_id"]]).count() == 1
+    predicted = fc.predict(matrix, serving_models(spark, root).filter("model = 'ridge'"), "geo_code", "year", REGRESSORS, 2005, 2015)
+    assert predicted.filter("kind = 'future'").count() == 2 * 4
