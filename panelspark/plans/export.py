@@ -49,7 +49,8 @@ def export_bundle(
     window = window_slice(matrix, start, end, areas)
     write("feature_matrix", None, window)
     wanted = codes.MODEL_NAMES if model.lower() == "all" else [model.lower()]
-    stored = {row["model"] for row in coefs.select("model").distinct().collect()}
+    known = coefs.filter(F.col("model").isin(codes.MODEL_NAMES)).select("model").distinct()
+    stored = {row["model"] for row in known.collect()}  # at most the model names
     for name in wanted:
         if name not in stored:
             status.append(("predictions", name, "error", "no trained model"))

@@ -1,7 +1,9 @@
 """Landed documents to staged rows to core tables.
 
 Every step is a DataFrame; ``CoreTables`` holds the three core tables before or
-after a batch, and ``publish_core`` writes them as new snapshots.
+after a batch, and ``publish_batch`` writes what a batch changed as new
+snapshots. Indicators have one snapshot per code, and a merge reads only the
+codes it changes, so a nightly batch costs as much as its own indicator.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 from ..functions import codes
 from ..functions.guarded import number_or_null
 from ..operators.annual import annual_mean, annual_preferred, choose_canonical, decoded_series, stage_rollup
+from ..operators.panel import union_all
 from ..operators.quality import validation_report
 from ..operators.upsert import upsert
 from ..sources.documents import latest_points
@@ -46,6 +49,7 @@ INDICATOR_SCHEMA = T.StructType(
     ]
 )
 INDICATOR_KEYS = ["geo_code", "year", "indicator_code"]
+STORED_CODES = [codes.BASELINE_POPULATION, *codes.SURVEY_INDICATORS.values(), codes.UNEMPLOYMENT, codes.SHELTER_PRICES]
 
 
 @dataclass(frozen=True)
@@ -58,8 +62,9 @@ class CoreTables:
 @dataclass(frozen=True)
 class Batch:
     core: CoreTables
-    staged: DataFrame
-    report: DataFrame
+    staged: DataFrame | None
+    report: DataFrame | None
+    changed_codes: list[str]
 
 
 def empty_core(spark: SparkSession) -> CoreTables:
@@ -71,25 +76,42 @@ def empty_core(spark: SparkSession) -> CoreTables:
 
 
 def read_core(spark: SparkSession, root: str) -> CoreTables:
+    """Current core tables. The code of each indicator snapshot is a literal, so
+    a filter on codes leaves the other snapshots unread."""
+    parts = [
+        read_snapshot(spark, f"{root}/indicators/{code}", INDICATOR_SCHEMA)
+        .withColumn("indicator_code", F.lit(code))
+        .select(*INDICATOR_SCHEMA.names)
+        for code in STORED_CODES
+    ]
     return CoreTables(
         read_snapshot(spark, f"{root}/geography", GEOGRAPHY_SCHEMA),
         read_snapshot(spark, f"{root}/population", POPULATION_SCHEMA),
-        read_snapshot(spark, f"{root}/indicators", INDICATOR_SCHEMA),
+        union_all(parts),
     )
 
 
-def publish_core(core: CoreTables, root: str) -> CoreTables:
-    return CoreTables(
-        publish(core.geography, f"{root}/geography"),
-        publish(core.population, f"{root}/population", sort_by=["geo_code", "year"]),
-        publish(core.indicators, f"{root}/indicators", partition_by=["indicator_code"], sort_by=["geo_code", "year"]),
-    )
+def publish_batch(before: CoreTables, batch: Batch, root: str) -> None:
+    """Write the tables and indicator codes that the batch changed."""
+    after = batch.core
+    if after.geography is not before.geography:
+        publish(after.geography, f"{root}/geography")
+    if after.population is not before.population:
+        publish(after.population, f"{root}/population", sort_by=["geo_code", "year"])
+    for code in batch.changed_codes:
+        rows = after.indicators.filter(F.col("indicator_code") == code)
+        publish(rows, f"{root}/indicators/{code}", sort_by=["geo_code", "year"])
 
 
-def merge_indicators(stored: DataFrame, rows: DataFrame, *, full: bool = False) -> DataFrame:
-    """Indicator upsert. Loaders refresh value and batch; the full form every column."""
-    changed = None if full else ["value", "etl_batch_id"]
-    return upsert(stored, rows, INDICATOR_KEYS, update_cols=changed)
+def merge_indicators(stored: DataFrame, rows: DataFrame, changed_codes: list[str], *, full: bool = False) -> DataFrame:
+    """Indicator upsert of the given codes; the others pass through untouched.
+
+    Loaders refresh value and batch only; the full form every column.
+    """
+    touched = F.col("indicator_code").isin(changed_codes)
+    update_cols = None if full else ["value", "etl_batch_id"]
+    merged = upsert(stored.filter(touched), rows.filter(touched), INDICATOR_KEYS, update_cols=update_cols)
+    return stored.filter(~touched).unionByName(merged)
 
 
 def scan_batch(staged: DataFrame, batch: str) -> DataFrame:
@@ -116,6 +138,7 @@ def load_surveys(core: CoreTables, staged: DataFrame, rows: DataFrame, batch: st
         F.lit("count").alias("unit"),
         F.lit(batch).alias("etl_batch_id"),
     )
+    mirror_codes = list(codes.SURVEY_INDICATORS.values())
     stage_rows = rows.withColumn("etl_batch_id", F.lit(batch))
     report = validation_report(canonical, "acs", "population", "population", "geo_code").withColumn("part", F.lit("core"))
     report = report.unionByName(
@@ -125,10 +148,11 @@ def load_surveys(core: CoreTables, staged: DataFrame, rows: DataFrame, batch: st
         CoreTables(
             upsert(core.geography, _areas(canonical), ["geo_code"]),
             upsert(core.population, canonical.select("geo_code", "year", "population"), ["geo_code", "year"]),
-            merge_indicators(core.indicators, mirrors),
+            merge_indicators(core.indicators, mirrors, mirror_codes),
         ),
         upsert(staged, stage_rows, ["geo_code", "year", "source"]) if staged is not None else stage_rows,
         report,
+        mirror_codes,
     )
 
 
@@ -154,10 +178,11 @@ def load_unemployment(core: CoreTables, points: DataFrame, batch: str) -> Batch:
         replace(
             core,
             geography=upsert(core.geography, areas, ["geo_code"], on_conflict="ignore"),
-            indicators=merge_indicators(core.indicators, rows),
+            indicators=merge_indicators(core.indicators, rows, [codes.UNEMPLOYMENT]),
         ),
         staged,
         validation_report(staged, "bls", "unrate", "rate", "geo_code"),
+        [codes.UNEMPLOYMENT],
     )
 
 
@@ -183,10 +208,11 @@ def load_national_unemployment(core: CoreTables, points: DataFrame, batch: str)
         replace(
             core,
             geography=upsert(core.geography, _nation_row(rows), ["geo_code"], on_conflict="ignore"),
-            indicators=merge_indicators(core.indicators, rows),
+            indicators=merge_indicators(core.indicators, rows, [codes.UNEMPLOYMENT]),
         ),
         staged,
         validation_report(staged, "bls-cps-us", "value", "rate", None),
+        [codes.UNEMPLOYMENT],
     )
 
 
@@ -214,14 +240,15 @@ def load_prices(core: CoreTables, observations: DataFrame, batch: str) -> Batch:
         replace(
             core,
             geography=upsert(core.geography, areas, ["geo_code"], on_conflict="ignore"),
-            indicators=merge_indicators(core.indicators, rows),
+            indicators=merge_indicators(core.indicators, rows, [codes.SHELTER_PRICES]),
         ),
         staged,
         validation_report(staged, "fred", "value", "CPI value", None, empty="no observations"),
+        [codes.SHELTER_PRICES],
     )
 
 
-def load_baseline(core: CoreTables, population: DataFrame, rate_docs: DataFrame, batch: str) -> CoreTables:
+def load_baseline(core: CoreTables, population: DataFrame, rate_docs: DataFrame, batch: str) -> Batch:
     """One survey population of the nation and the latest unemployment rate."""
     people = population.filter(F.col("geo_code") == codes.NATION).select("geo_code", "year", "population")
     people_rows = people.select(
@@ -242,8 +269,10 @@ def load_baseline(core: CoreTables, population: DataFrame, rate_docs: DataFrame,
         F.lit("percent").alias("unit"),
         F.lit(batch).alias("etl_batch_id"),
     )
-    return replace(
+    changed = [codes.BASELINE_POPULATION, codes.UNEMPLOYMENT]
+    after = replace(
         core,
         population=upsert(core.population, people, ["geo_code", "year"]),
-        indicators=merge_indicators(core.indicators, people_rows.unionByName(rate_rows), full=True),
+        indicators=merge_indicators(core.indicators, people_rows.unionByName(rate_rows), changed, full=True),
     )
+    return Batch(after, None, None, changed)

@@ -324,7 +324,8 @@ def indicator_upsert(spark, d):
     updates = rows.filter(F.col("year") >= 1999).withColumns(
         {"value": F.col("value") + 1, "source": F.lit("new"), "etl_batch_id": F.lit("batch_2")}
     )
-    return merge_indicators(rows.filter(F.col("year") <= 1999), updates).select(*INDICATOR_KEYS, "value", "source", "unit", "etl_batch_id")
+    wanted = [*codes.SURVEY_INDICATORS.values(), codes.UNEMPLOYMENT, codes.SHELTER_PRICES]
+    return merge_indicators(rows.filter(F.col("year") <= 1999), updates, wanted).select(*INDICATOR_KEYS, "value", "source", "unit", "etl_batch_id")
 
 
 @query(

@@ -246,7 +246,7 @@ def pipeline_baseline(spark, d):
     series = F.array(F.struct(F.col("series_id").alias("seriesID"), "data")).alias("series")
     rate_docs = one.select(F.to_json(F.struct(F.lit("REQUEST_SUCCEEDED").alias("status"), F.struct(series).alias("Results"))).alias("doc"))
     people = b.population(spark, d).filter(F.col("year") == 2000)
-    core = ingest.load_baseline(ingest.empty_core(spark), people, rate_docs, "b1")
+    core = ingest.load_baseline(ingest.empty_core(spark), people, rate_docs, "b1").core
     return core.indicators.select("geo_code", "year", "indicator_code", "value", "source")
 
 

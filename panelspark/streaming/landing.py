@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.ingest import Batch, CoreTables, load_unemployment, publish_core, read_core
+from ..plans.ingest import Batch, CoreTables, load_unemployment, publish_batch, read_core
 from ..sources.documents import series_points
 
 Loader = Callable[[CoreTables, DataFrame, str], Batch]
@@ -29,7 +29,8 @@ def ingest_landed(
 
     def merge(docs: DataFrame, epoch: int) -> None:
         docs = docs.withColumnRenamed("value", "doc")
-        publish_core(load(read_core(spark, core_root), docs, f"{batch_prefix}_{epoch}").core, core_root)
+        before = read_core(spark, core_root)
+        publish_batch(before, load(before, docs, f"{batch_prefix}_{epoch}"), core_root)
 
     query = (
         spark.readStream.format("text")

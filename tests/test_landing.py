@@ -71,11 +71,13 @@ def test_surveys_mirror_both_sources_and_update_names(spark, rows):
 def test_baseline_and_full_indicator_refresh(spark, rows):
     people = spark.createDataFrame([("US", 2021, 330)], "geo_code string, year int, population bigint")
     rates = spark.createDataFrame([(GOOD,)], "doc string")
-    core = ingest.load_baseline(ingest.empty_core(spark), people, rates.limit(1), "b1")
+    core = ingest.load_baseline(ingest.empty_core(spark), people, rates.limit(1), "b1").core
     assert rows(core.indicators.filter("indicator_code = 'ACS_TOTAL_POP'"), "year", "value") == [(2021, 330.0)]
+    codes = ["ACS_TOTAL_POP", "BLS_UNRATE"]
+    assert ingest.merge_indicators(core.indicators, core.indicators, ["BLS_UNRATE"]).count() == core.indicators.count()
     new = core.indicators.withColumns({"source": F.lit("s2"), "etl_batch_id": F.lit("b2")})
-    assert {r["source"] for r in ingest.merge_indicators(core.indicators, new, full=True).collect()} == {"s2"}
-    assert "s2" not in {r["source"] for r in ingest.merge_indicators(core.indicators, new).collect()}
+    assert {r["source"] for r in ingest.merge_indicators(core.indicators, new, codes, full=True).collect()} == {"s2"}
+    assert "s2" not in {r["source"] for r in ingest.merge_indicators(core.indicators, new, codes).collect()}
 
 
 def calls(spark, items):
@@ -150,3 +152,17 @@ def test_export_reports_missing_models(spark):
     assert spark.read.option("header", True).csv(f"{root}/predictions/model=linear").count() == 10
     with pytest.raises(ValueError):
         export_bundle(root, indicators, matrix, matrix, coefs, REGRESSORS, 2014, 2005)
+
+
+def test_merging_one_indicator_leaves_the_others_unread(spark):
+    root = fresh_dir(spark, "core")
+    start = ingest.read_core(spark, root)
+    rows = [("06", 2020, code, 1.0, "s", "u", "b") for code in ("BLS_UNRATE", "CPI_SHELTER", "ACS1_TOTAL_POP")]
+    filled = ingest.CoreTables(start.geography, start.population, spark.createDataFrame(rows, ingest.INDICATOR_SCHEMA))
+    ingest.publish_batch(start, ingest.Batch(filled, None, None, ["BLS_UNRATE", "CPI_SHELTER", "ACS1_TOTAL_POP"]), root)
+    core = ingest.read_core(spark, root)
+    assert core.indicators.count() == 3
+    new = spark.createDataFrame([("06", 2021, "BLS_UNRATE", 2.0, "s", "u", "b2")], ingest.INDICATOR_SCHEMA)
+    merged = ingest.merge_indicators(core.indicators, new, ["BLS_UNRATE"]).filter("indicator_code = 'BLS_UNRATE'")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert merged.count() == 2 and plan.count("FileScan") == 1
