@@ -30,35 +30,50 @@ def newest_first(col: str) -> Column:
     return -F.unix_micros(F.col(col).cast("timestamp"))
 
 
+def group_sizes(df: DataFrame, by: list[str]) -> DataFrame:
+    return df.groupBy(*by).agg(F.count("*").alias("_n"))
+
+
+def size_limit(sizes: DataFrame, smallest_split: int) -> tuple[int, bool]:
+    """Rows a group may have before it is cut, and whether any group has more."""
+    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    limit = max((total or 0) // SHARE, smallest_split)
+    return limit, (largest or 0) > limit
+
+
+def has_large_group(df: DataFrame, by: list[str], smallest_split: int = 100_000) -> bool:
+    return size_limit(group_sizes(df, by), smallest_split)[1]
+
+
 def with_row_number(
     df: DataFrame,
     by: list[str],
     ascending: list[Column],
     name: str,
     smallest_split: int = 100_000,
-    counted: DataFrame | None = None,
+    split: bool | None = None,
 ) -> DataFrame:
     """Number the rows of each group by the given ascending keys.
 
-    The keys must be unique within a group. A first, column-pruned job counts
-    the rows of each group in ``counted`` (a cheaper table with the same groups,
-    ``df`` itself if not given) and looks for groups above 1/SHARE of all rows;
-    there are at most SHARE of them. Without any, this is a plain window. Otherwise a hash sample
-    of the sort keys of the large groups gives cut points; it decides only
-    where ranges begin, every row is ranked.
+    The keys must be unique within a group. Unless the caller knows whether to
+    ``split``, a first, column-pruned job counts the groups. Without any above
+    1/SHARE of all rows this is a plain window. Otherwise a hash sample of the
+    sort keys of the large groups, at most SHARE of them, gives cut points; it
+    decides only where ranges begin, every row is ranked.
     """
     key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(ascending)])
     group = by or ["_all"]
     keyed = df if by else df.withColumn("_all", F.lit(0))
-    source = keyed if counted is None else counted if by else counted.withColumn("_all", F.lit(0))
-    sizes = source.groupBy(*group).agg(F.count("*").alias("_n"))
-    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    limit = max((total or 0) // SHARE, smallest_split)
-    large = sizes.filter(F.col("_n") > limit)
-    if (largest or 0) <= limit:
-        numbered = keyed.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(key)))
-        return numbered if by else numbered.drop("_all")
+    plain = split is False
+    if not plain:
+        sizes = group_sizes(keyed, group)
+        limit, found = size_limit(sizes, smallest_split)
+        plain = not found
+    if plain:
+        numbered = keyed.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*ascending)))
+        return numbered.select(*df.columns, name)
 
+    large = sizes.filter(F.col("_n") > limit)
     step = max(limit // SAMPLES_PER_RANGE, 1)
     keyed = keyed.withColumn("_key", key)
     cuts = (
@@ -85,9 +100,8 @@ def with_row_number(
         ranged.withColumn("_within", within)
         .join(F.broadcast(shifts), [*group, "_range"], "left")
         .withColumn(name, (F.col("_within") + F.coalesce("_shift", F.lit(0))).cast("int"))
-        .drop("_within", "_shift", "_range", "_key")
     )
-    return numbered if by else numbered.drop("_all")
+    return numbered.select(*df.columns, name)
 
 
 def chunked(df: DataFrame, order: list[str], size: int, chunk: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.guarded import iso_utc
-from .ranking import newest_first, nulls_last, top_per_group, with_row_number
+from .ranking import has_large_group, newest_first, nulls_last, top_per_group, with_row_number
 from .upsert import update_from, upsert
 
 TEST_SCOPE = "test"
@@ -32,9 +32,11 @@ def scored_runs(runs: DataFrame, metrics: DataFrame) -> DataFrame:
 def leaderboard(runs: DataFrame, metrics: DataFrame, smallest_split: int = 100_000) -> DataFrame:
     """Rank of every run within its area, and within area and model."""
     order = [*nulls_last("rmse_test"), newest_first("trained_at"), F.col("run_id")]
+    # Runs alone tell the group sizes; without a large area no part of one is large.
+    split = None if has_large_group(runs, ["geo_code"], smallest_split) else False
     scored = scored_runs(runs, metrics)
-    ranked = with_row_number(scored, ["geo_code", "model"], order, "rank_within_model", smallest_split, runs)
-    return with_row_number(ranked, ["geo_code"], order, "rank_within_geo_code", smallest_split, runs)
+    ranked = with_row_number(scored, ["geo_code", "model"], order, "rank_within_model", smallest_split, split)
+    return with_row_number(ranked, ["geo_code"], order, "rank_within_geo_code", smallest_split, split)
 
 
 def scorecard(runs: DataFrame, metrics: DataFrame, areas: list[str] | None = None) -> DataFrame:

@@ -81,6 +81,19 @@ def test_leaderboard_best_run_and_scorecard(spark, rows):
     assert g.scorecard(runs, metrics, ["nowhere"]).count() == 0
 
 
+def test_leaderboard_of_a_crowded_area(spark):
+    n = 4000
+    runs = spark.range(n).select(
+        F.format_string("r%06d", "id").alias("run_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.format_string("g%d", F.col("id") % 50)).alias("geo_code"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("model"),
+        F.timestamp_seconds(F.col("id") % 97).alias("trained_at"),
+    )
+    metrics = runs.select("run_id", F.lit("rmse").alias("metric"), F.lit("test").alias("scope"), F.lit(-1).alias("fold"), F.when(F.col("model") == "a", F.hash("run_id") % 11).cast("double").alias("value"))
+    split, plain = g.leaderboard(runs, metrics, smallest_split=50), g.leaderboard(runs, metrics)
+    assert split.count() == n and split.exceptAll(plain).count() == 0
+
+
 def test_pointers_and_drift(spark, rows):
     runs, metrics = registry(spark)
     empty = spark.createDataFrame([], "geo_code string, model string, data_hash string, trained_at timestamp, latest_run_id string, best_run_id string")
