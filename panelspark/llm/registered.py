@@ -1,6 +1,6 @@
 """All queries of this folder."""
 
-from . import simhash  # noqa: F401
+from . import conversations, mixing, simhash, urls  # noqa: F401
 from .tables import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
