@@ -15,6 +15,8 @@ import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+NO_SPACE = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
+LETTERS = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 WORD = r"[^\x20\x09-\x0D]+"
 
 _powers: dict[int, np.ndarray] = {}
@@ -128,12 +130,13 @@ class Texts:
         upper = (self.data >= 65) & (self.data <= 90)
         return Texts(np.where(upper, self.data + 32, self.data).astype(np.uint8), self.offsets)
 
-    def words(self) -> Words:
+    def words(self, letters: bool = False) -> Words:
+        """Words between white space, or runs of ASCII letters, digits and other scripts' bytes."""
         data, n = self.data, len(self.data)
         if not n:
             zero = np.zeros(0, np.int64)
             return Words(self, zero, zero, np.zeros(len(self) + 1, np.int64))
-        inside = (data != 32) & ((data < 9) | (data > 13))
+        inside = (LETTERS if letters else NO_SPACE)[data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         last = inside.copy()
