@@ -54,14 +54,13 @@ class Items:
         return tuple(np.array(x) for x in zip(*rows))
 
 
-def passages(words: Words, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, first word, end) of passages of PASSAGE words, ``step`` apart; the last one may be shorter."""
-    counts = words.counts()
-    many = np.where(counts > 0, np.maximum(1, -(-(counts - (PASSAGE - step)) // step)), 0)
-    doc = np.repeat(np.arange(len(counts)), many)
+def passages(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first word, end) of passages of ``size`` words; a document's last one may be shorter."""
+    many = -(-words.counts() // size)
+    doc = np.repeat(np.arange(len(many)), many)
     at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    start = words.first[doc] + at * step
-    return doc, start, np.minimum(start + PASSAGE, words.first[doc + 1])
+    start = words.first[doc] + at * size
+    return doc, start, np.minimum(start + size, words.first[doc + 1])
 
 
 def terms(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -72,7 +71,7 @@ def terms(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def sparse(term: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndarray | None, size: int):
-    """(row, column, value) of the passages' term counts; with weights, TF-IDF rows of length one."""
+    """(row, column, value) of the passages' term counts; with weights, of TF-IDF."""
     length = end - start
     row = np.repeat(np.arange(len(start)), length)
     at = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + np.repeat(start, length)
@@ -84,8 +83,12 @@ def sparse(term: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndar
     row, column = key // size, key % size
     if weight is None:
         return row, column, count
-    value = (1 + np.log(count)) * weight[column]
-    norm = np.sqrt(np.bincount(row, value * value, minlength=len(start)))
+    return row, column, (count * weight[column]).astype(np.float32)
+
+
+def scaled(row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int):
+    """The same matrix with rows of length one."""
+    norm = np.sqrt(np.bincount(row, value * value, minlength=rows))
     return row, column, (value / norm[row]).astype(np.float32)
 
 
@@ -139,7 +142,7 @@ def gram_times(docs: DataFrame, text_col: str, vocabulary: np.ndarray, weight: n
         total = np.zeros((size, rank))
         for _, _, words in _pieces(batches, 0):
             _, start, end = passages(words, PASSAGE)
-            row, column, value = sparse(terms(vocabulary, words.hashes()), start, end, weight, size)
+            row, column, value = scaled(*sparse(terms(vocabulary, words.hashes()), start, end, weight, size), len(start))
             latent = times(row, column, value, dense, len(start))
             order = np.argsort(column, kind="stable")
             row, column, value = row[order], column[order], value[order]
@@ -170,31 +173,31 @@ def gram_times(docs: DataFrame, text_col: str, vocabulary: np.ndarray, weight: n
 def latent_space(docs: DataFrame, text_col: str, items: Items, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(weights of terms, basis, latent vectors of the items' passages).
 
-    Randomised singular value decomposition with one power iteration over the
-    passages of all documents, stacked with the benchmark's own, which get as much
-    weight together, so that its directions are kept.
+    Randomised singular value decomposition in one pass: the Gram matrix of the
+    TF-IDF passages of all documents is multiplied by random vectors, and Nystrom's
+    formula gives its leading eigenvectors. The benchmark's own passages are stacked
+    below and get as much weight together, so that their directions are kept.
     """
     size = len(items.vocabulary)
     often, n = document_frequencies(docs, text_col, items.vocabulary)
-    # terms in over a quarter of all passages tell nothing
-    weight = np.maximum(0, np.log((4 + n) / (4 * often + 4 / max(1, n))) if n else np.ones(size))
+    # terms in over a quarter of all passages tell nothing; a few passages tell little about that
+    weight = np.maximum(0, np.log((n + 1000) / (4 * often + 1)))
     item, first, end = items.passages()
     term = [terms(items.vocabulary, w) for w in items.words]
-    flat = np.concatenate(term)
     shift = np.concatenate([[0], np.cumsum([len(t) for t in term])])
-    own = sparse(flat, first + shift[item], end + shift[item], weight, size)
-
-    def gram(dense: np.ndarray) -> np.ndarray:
-        small = times(*own, dense.astype(np.float32), len(item))
-        back = np.zeros((size, dense.shape[1]))
-        np.add.at(back, own[1], small[own[0]] * own[2][:, None])
-        return gram_times(docs, text_col, items.vocabulary, weight, dense) + back * max(1, n) / len(item)
-
-    rank = min(size, RANK + EXTRA)
-    basis = np.linalg.qr(gram(np.random.default_rng(seed).standard_normal((size, rank))))[0]
-    image = gram(basis)
-    values, turn = np.linalg.eigh((basis.T @ image + image.T @ basis) / 2)
-    basis = (basis @ turn[:, np.argsort(-values)[:RANK]]).astype(np.float32)
+    own = sparse(np.concatenate(term), first + shift[item], end + shift[item], weight, size)
+    probe = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, min(size, RANK + EXTRA))))[0]
+    row, column, value = scaled(*own, len(item))
+    small = times(row, column, value, probe.astype(np.float32), len(item))
+    image = np.zeros_like(probe)
+    np.add.at(image, column, small[row] * value[:, None])
+    image = gram_times(docs, text_col, items.vocabulary, weight, probe) + image * max(1, n) / len(item)
+    nudge = 1e-6 * (np.linalg.norm(image) + 1e-30)
+    image += nudge * probe
+    core = probe.T @ image
+    values, turn = np.linalg.eigh((core + core.T) / 2)
+    half = turn / np.sqrt(np.maximum(values, nudge / 2))
+    basis = np.linalg.svd(image @ half, full_matrices=False)[0][:, :RANK].astype(np.float32)
     return weight, basis, unit(times(*own, basis, len(item)))
 
 
@@ -219,6 +222,8 @@ def longest_common(item: np.ndarray, text: np.ndarray) -> int:
 def check(item: np.ndarray, text: np.ndarray) -> tuple[float, bool]:
     """(share of the item's words found in order, whether its answer is there)."""
     answer = item[-max(3, round(ANSWER * len(item))) :]
+    if np.isin(item, text).mean() < WITH_ANSWER:
+        return 0.0, False
     share = longest_common(item, text) / len(item)
     return share, share > 0 and longest_common(answer, text) >= 0.8 * len(answer)
 
@@ -233,8 +238,14 @@ def _search(docs: DataFrame, id_col: str, text_col: str, items: Items, item_type
         items, weight, basis, asked, of = shared.value
         for batch, begin, words in _pieces(batches, 1):
             hashes = words.hashes()
+            # latent vectors add up: a passage is a half and the next one of its document
             doc, start, end = passages(words, PASSAGE // 2)
-            near = unit(times(*sparse(terms(items.vocabulary, hashes), start, end, weight, size), basis, len(start)))
+            near = times(*sparse(terms(items.vocabulary, hashes), start, end, weight, size), basis, len(start))
+            follows = np.flatnonzero(doc[1:] == doc[:-1])
+            next_half = near[follows + 1]
+            near[follows] += next_half
+            end[follows] = end[follows + 1]
+            near = unit(near)
             found: dict[tuple[int, int], tuple[float, float, bool]] = {}
             for a in range(0, len(near), 8192):
                 cosine = near[a : a + 8192] @ asked.T
