@@ -12,13 +12,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import fresh_dir, stored
 from .tables import query, read
-from .words import Texts, Words
+from .words import BASE, Texts, Words, mix
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text of a chunk; its distinct words are looked up together.
-CHUNK = 8 << 20
+CHUNK = 16 << 20
 #: Share of the byte pieces, which cover what no other piece does.
 BYTE_SHARE = 1e-3
 #: How many observations the vocabulary's own scores count as.
@@ -26,6 +26,40 @@ PRIOR = 10_000.0
 MARK = "▁"
 
 
+class PieceTable:
+    """Finds pieces by the polynomial hash of their letters, many at a time.
+
+    Slots take one piece each; pieces that find theirs taken go to a further table.
+    """
+
+    BITS = 20
+
+    def __init__(self, pieces: list[str]):
+        codes = np.zeros(len(pieces), np.uint64)
+        for i, piece in enumerate(pieces):
+            code = 0
+            for letter in piece:
+                code = (code * int(BASE) + ord(letter) + 1) % 2**64
+            codes[i] = code
+        self.tables, left = [], np.arange(len(pieces))
+        while len(left):
+            slot, first = np.unique(self.slot(codes[left]), return_index=True)
+            code, piece = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, -1)
+            code[slot], piece[slot] = codes[left[first]], left[first]
+            self.tables.append((code, piece))
+            left = np.delete(left, first)
+
+    def slot(self, codes: np.ndarray) -> np.ndarray:
+        return (mix(codes) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """The piece of each hash, -1 where there is none."""
+        slot, found = self.slot(codes), np.full(len(codes), -1)
+        for code, piece in self.tables:
+            found = np.where(code[slot] == codes, piece[slot], found)
+        return found
+
+
 class Vocabulary:
     """The pieces of an existing subword vocabulary and their log probabilities.
 
@@ -36,6 +70,7 @@ class Vocabulary:
 
     def __init__(self, pieces: list[str], scores: list[float]):
         ranks = all(float(s).is_integer() for s in scores)
+        self.table = PieceTable(pieces)
         weight = np.array([1 / (2 - s) if ranks else math.exp(s) for s in scores])
         self.pieces = {p: i for i, p in enumerate(pieces)}
         self.longest = max(map(len, pieces), default=1)
@@ -60,14 +95,17 @@ class Vocabulary:
 
     def edges(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """For words of one length with the mark: (start, end, piece or -1, log probability)."""
-        get, length = self.pieces.get, len(words[0])
+        length = len(words[0])
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), length)
+        size = 1 + (letters >= 0x80) + (letters >= 0x800) + (letters >= 0x10000)  # bytes of UTF-8
         for start in range(length):
+            code = np.zeros(len(words), np.uint64)
             for end in range(start + 1, min(length, start + self.longest) + 1):
-                piece = np.fromiter([get(w[start:end], -1) for w in words], np.int64, len(words))
+                code = code * BASE + letters[:, end - 1] + np.uint64(1)
+                piece = self.table.find(code)
                 value = np.where(piece >= 0, self.log[piece], -np.inf)
                 if end == start + 1:
-                    size = np.array([len(w[start].encode("utf-8", "surrogatepass")) for w in words])
-                    value = np.logaddexp(value, size * self.log_byte)
+                    value = np.logaddexp(value, size[:, start] * self.log_byte)
                 elif not (piece >= 0).any():
                     continue
                 yield start, end, piece, value
@@ -138,29 +176,43 @@ def _chunks(docs: DataFrame, id_col: str, text_col: str, held_out) -> DataFrame:
             used += int(size.sum())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number)], schema.names)
 
-    return stored(picked.mapInArrow(run, schema), "chunks")
+    path = fresh_dir(docs.sparkSession, "chunks")
+    picked.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(path)
 
 
 def _chunk_words(chunks: DataFrame) -> DataFrame:
-    """(chunk, word, n): the distinct words of each batch of a chunk, and how often training documents have them."""
+    """(chunk, word, n): the distinct words of each chunk, and how often its training documents have them.
+
+    A chunk that two tasks read in parts may have a word twice; its counts add up.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, int] = defaultdict(int)
+        last = None
+
+        def rows() -> pa.RecordBatch:
+            columns = [pa.array(np.full(len(total), last)), pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["chunk", "word", "n"])
+
         for batch in batches:
             chunk, held = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for number in np.unique(chunk):
+                if last is not None and number != last:
+                    yield rows()
+                    total.clear()
+                last = number
                 at = np.flatnonzero(chunk == number)
-                total: dict[str, int] = defaultdict(int)
                 for begin, _, texts in Texts.of(batch.column(2).take(pa.array(at))).pieces():
                     words = texts.lower().words()
                     names, which = distinct(words)
                     training = ~held[at[begin + words.document()]]
                     for name, n in zip(names, np.bincount(which, training, len(names)).astype(np.int64).tolist()):
                         total[name] += n
-                rows = [pa.array(np.full(len(total), number)), pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())]
-                yield pa.RecordBatch.from_arrays(rows, ["chunk", "word", "n"])
+        if last is not None:
+            yield rows()
 
-    found = chunks.select("chunk", "held_out", "text").mapInArrow(run, "chunk long, word string, n long")
-    return found.groupBy("chunk", "word").agg(F.sum("n").alias("n"))
+    return chunks.select("chunk", "held_out", "text").mapInArrow(run, "chunk long, word string, n long")
 
 
 def score(
