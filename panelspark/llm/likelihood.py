@@ -32,7 +32,7 @@ class PieceTable:
     Slots take one piece each; pieces that find theirs taken go to a further table.
     """
 
-    BITS = 20
+    BITS = 18
 
     def __init__(self, pieces: list[str]):
         codes = np.zeros(len(pieces), np.uint64)
@@ -44,7 +44,7 @@ class PieceTable:
         self.tables, left = [], np.arange(len(pieces))
         while len(left):
             slot, first = np.unique(self.slot(codes[left]), return_index=True)
-            code, piece = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, -1)
+            code, piece = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, -1, np.int32)
             code[slot], piece[slot] = codes[left[first]], left[first]
             self.tables.append((code, piece))
             left = np.delete(left, first)
@@ -54,7 +54,7 @@ class PieceTable:
 
     def find(self, codes: np.ndarray) -> np.ndarray:
         """The piece of each hash, -1 where there is none."""
-        slot, found = self.slot(codes), np.full(len(codes), -1)
+        slot, found = self.slot(codes), np.full(len(codes), -1, np.int32)
         for code, piece in self.tables:
             found = np.where(code[slot] == codes, piece[slot], found)
         return found
@@ -70,7 +70,7 @@ class Vocabulary:
 
     def __init__(self, pieces: list[str], scores: list[float]):
         ranks = all(float(s).is_integer() for s in scores)
-        self.table = PieceTable(pieces)
+        self.table = None  # built where it is used, so that it is never sent
         weight = np.array([1 / (2 - s) if ranks else math.exp(s) for s in scores])
         self.pieces = {p: i for i, p in enumerate(pieces)}
         self.longest = max(map(len, pieces), default=1)
@@ -95,6 +95,8 @@ class Vocabulary:
 
     def edges(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """For words of one length with the mark: (start, end, piece or -1, log probability)."""
+        if self.table is None:
+            self.table = PieceTable(list(self.pieces))
         length = len(words[0])
         letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), length)
         size = 1 + (letters >= 0x80) + (letters >= 0x800) + (letters >= 0x10000)  # bytes of UTF-8

@@ -63,11 +63,11 @@ class PhraseAutomaton:
         return found - (PHRASE - 1)
 
 
-def _sharded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def shards(docs: DataFrame, id_col: str, text_col: str, size_of_shard: int) -> DataFrame:
     """(shard, rank, id, text); rank is the id, the largest number for a null one."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    number = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(-(-size // SHARD) or 1)).cast("int")
+    number = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(-(-size // size_of_shard) or 1)).cast("int")
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
     return docs.select(number.alias("shard"), rank.alias("rank"), F.col(id_col).alias("id"), text.alias("text"))
 
@@ -160,7 +160,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     as the largest; rows with one id never remove each other's words; an empty table
     gives no rows; other columns are ignored.
     """
-    sharded = _sharded(docs, id_col, text_col)
+    sharded = shards(docs, id_col, text_col, SHARD)
     phrases = _recurring(sharded)
     candidates = stored(_candidates(sharded, phrases), "windows")
     least = F.min("rank").over(Window.partitionBy("hash"))  # a hash has a row for each shard at most
