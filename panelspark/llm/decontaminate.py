@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import query, read
+from .tables import numbered, query, read
 from .words import Texts, Words
 
 #: Words of a passage; searched passages overlap by half.
@@ -310,6 +310,13 @@ def leaks(
     return reduce(DataFrame.union, parts)
 
 
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """The documents, all columns, that hold no benchmark item."""
+    rows, number = numbered(docs)
+    hits = leaks(rows, benchmark, id_col=number, text_col=text_col).select(number).distinct()
+    return rows.join(hits, number, "left_anti").select(*docs.columns)
+
+
 @query("op7_benchmark_leaks")
 def op7(spark, folder):
     return leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))

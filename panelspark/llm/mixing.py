@@ -112,6 +112,7 @@ def mix(
     block: int = BLOCK,
     repeats: int = REPEATS,
     seed: int = 7,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row for each document: id, size, source, source_size, target, taken.
 
@@ -128,12 +129,12 @@ def mix(
     what the blocks that it lies in are taken.
 
     Equal rows are separate documents; a null id is one like others; an empty table
-    gives no rows; other columns are ignored. The driver holds a row for each source,
+    gives no rows; of other columns those named by ``carry`` are kept. The driver holds a row for each source,
     and refuses more than MOST_SOURCES.
     """
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = stored(docs.select(F.col(id_col), F.col(source_col).alias("source"), size.alias("size")), "sizes")
+    sized = stored(docs.select(F.col(id_col), F.col(source_col).alias("source"), size.alias("size"), *carry), "sizes")
     known = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     known = known.limit(MOST_SOURCES + 1).collect()
     if len(known) > MOST_SOURCES:
@@ -163,7 +164,7 @@ def mix(
             least(end, (i + 1) * {block}) - greatest(begin, i * {block}), 0L))"""
     )
     taken = F.when(F.col("size") > 0, F.expr("size * (quota div blocks)") + once_more).otherwise(F.lit(0))
-    return placed.select(id_col, "size", "source", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select(id_col, "size", "source", "source_size", "target", taken.cast("long").alias("taken"), *carry)
 
 
 @query("op1_source_mixing")

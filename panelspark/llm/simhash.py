@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .components import Forest, components
-from .tables import query, read
+from .tables import numbered, query, read
 
 BITS = 64
 
@@ -190,6 +190,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     )
 
 
+def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, without near-duplicates: of each group the smallest id stays.
+
+    A null id stays only where the group has no other; of rows with equal ids one stays.
+    """
+    rows, number = numbered(docs)
+    groups = near_duplicates(rows, id_col=number, text_col=text_col).select(F.col(number).alias("n"), "component_id")
+    ids = rows.select(F.col(number).alias("n"), F.struct(F.isnull(id_col), F.col(id_col), F.col(number)).alias("order"))
+    first = groups.join(ids, "n").groupBy("component_id").agg(F.min_by("n", "order").alias(number)).select(number)
+    return rows.join(first, number, "left_semi").select(*docs.columns)
+
+
 @query("op10_simhash_near_duplicates")
 def op10(spark, folder):
     return near_duplicates(read(spark, folder, "documents"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .tables import query, read
+from .tables import numbered, query, read
 from .phrases import shards
 from .words import Rolling, Texts, sliding_min
 
@@ -362,6 +362,26 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return pairs.applyInArrow(clean, answer).withColumnRenamed("id", id_col)
 
 
+def strip_repeats(docs: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The documents, all of them, with repeated strings cut out of the text; ``chars_col`` counts what is left.
+
+    Bytes of a letter of which only a part is cut are left out. A null text stays null.
+    """
+    rows, number = numbered(docs)
+    cleaned = remove_repeats(rows, id_col=number, text_col=text_col).where("n_removed > 0").select(F.col(number).alias("n"), "kept")
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["n", "cut"])
+
+    cut = cleaned.mapInArrow(decode, "n long, cut string")
+    joined = rows.join(cut, F.col(number) == F.col("n"), "left")
+    text = F.coalesce("cut", text_col)
+    chars = F.when(F.col("n").isNotNull(), F.length("cut")).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType)
+    return joined.select(*(text.alias(c) if c == text_col else chars.alias(c) if c == chars_col else F.col(c) for c in docs.columns))
+
+
 @query("op4_repeated_substrings")
 def op4(spark, folder):
     return remove_repeats(read(spark, folder, "documents")).drop("kept")

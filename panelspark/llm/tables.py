@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,3 +29,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return fn
 
     return add
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number of their own, and its column's name; stored, so that numbers stay as they are.
+
+    Operators that answer by id can then answer by row, whatever ids are null or repeated.
+    """
+    name = "row_number"
+    while name in df.columns:
+        name += "_"
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name

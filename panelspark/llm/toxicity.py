@@ -370,6 +370,25 @@ def score(
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def keep_clean(
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5
+) -> DataFrame:
+    """The documents, all columns, that score below 0.5; the model is that of :func:`score`."""
+    model = fit(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, folds=folds)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(len(batch), bool)
+            if shared.value is not None:
+                for begin, words in _words(batch.column(text)):
+                    keep[begin : begin + len(words.first) - 1] = shared.value.scores(words) < 0.5
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 @query("op6_toxicity")
 def op6(spark, folder):
     return score(read(spark, folder, "documents"), read(spark, folder, "labels"))
