@@ -48,6 +48,7 @@ PRICE_SERIES = {
 }
 
 MODEL_NAMES = ["linear", "ridge", "xgb", "prophet"]
+TREND_MODEL, TREND_STEM = "prophet", "prophet_model_"
 DEFAULT_MODEL = "linear"
 # ---------------------------------------------------------------------------
 
@@ -126,8 +127,10 @@ def model_name(name: Column) -> Column:
 
 def artifact_model(stem: Column, family: Column) -> Column:
     """Model part of a ``model_area`` artifact name; the folder's family if absent."""
-    return F.when(F.instr(stem, "_") > 0, F.split(stem, "_", 2)[0]).otherwise(family)
+    trend = F.when(stem.startswith(TREND_STEM), F.lit(TREND_MODEL))
+    return trend.when(F.instr(stem, "_") > 0, F.split(stem, "_", 2)[0]).otherwise(family)
 
 
 def artifact_area(stem: Column) -> Column:
-    return F.when(F.instr(stem, "_") > 0, F.split(stem, "_", 2)[1]).otherwise(stem)
+    trend = F.when(stem.startswith(TREND_STEM), F.substr(stem, F.lit(len(TREND_STEM) + 1)))
+    return trend.when(F.instr(stem, "_") > 0, F.split(stem, "_", 2)[1]).otherwise(stem)

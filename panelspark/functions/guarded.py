@@ -47,7 +47,8 @@ def year_start(year: Column) -> Column:
 
 
 def iso_utc(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """UTC text of a timestamp, whatever the session's time zone."""
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def clamp(value: Column, low: Column | float, high: Column | float) -> Column:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .metrics import regression_metrics
-from .panel import FIRST_YEAR, LAST_YEAR, PERIODS_PER_YEAR
 from .regression import _stack, _unpack, expanding_predictions, moments, solve_centred
 
 
@@ -49,13 +48,12 @@ def pooled_backtest(
 ) -> DataFrame:
     """Errors per split period of one model over all entities.
 
-    Moments are taken per period first. At most one row per calendar period is
+    Moments are taken per period first. One row per distinct period is
     left; they are merged in period order and solved, and the coefficients go
     back to the test rows.
     """
     complete = df.dropna(subset=[*features, target])
-    calendar = (LAST_YEAR + 1) * PERIODS_PER_YEAR
-    per_period = moments(complete.filter(F.col(period).between(FIRST_YEAR, calendar)), [period], features, target)
+    per_period = moments(complete, [period], features, target)
     width = len(features) + 1
     schema = T.StructType(
         [
@@ -88,7 +86,7 @@ def pooled_backtest(
     yhat = F.col("intercept")
     for i, f in enumerate(features):
         yhat = yhat + F.col(f) * F.col("coef")[i]
-    tested = complete.join(F.broadcast(coefs), period).select(
+    tested = complete.join(coefs, period).select(
         F.col(period).alias("split_year"), F.col(target).cast("double").alias("actual"), yhat.alias("yhat")
     )
     return _split_errors(tested, ["split_year"])

@@ -28,12 +28,31 @@ INDEX_WEIGHT = 0.60
 COVERED, FUTURE = "covered", "future"
 
 
+def aligned(coefs: DataFrame, features: list[str]) -> DataFrame:
+    """Coefficients in the order of ``features``, found by the names stored with them.
+
+    A stored ``rename_map`` gives the model's name of a column. Missing features, or
+    coefficients of another number, are an error when the row is used.
+    """
+    names = [F.lit(f) for f in features]
+    fits = F.size("coef") == len(features)
+    coef = F.col("coef")
+    if "features" in coefs.columns:
+        if "rename_map" in coefs.columns:
+            names = [F.coalesce(F.try_element_at("rename_map", n), n) for n in names]
+        fits = fits & (F.size("features") == len(features)) & (F.size(F.array_except(F.array(*names), "features")) == 0)
+        places = F.transform(F.array(*names), lambda n: F.array_position("features", n).cast("int"))
+        coef = F.transform(places, lambda i: F.get("coef", i - 1))
+    error = F.raise_error(F.lit(f"the stored model does not have the features {features}")).cast("array<double>")
+    return coefs.withColumn("coef", F.when(fits, coef).otherwise(error))
+
+
 def predict_known(matrix: DataFrame, coefs: DataFrame, entity: str, period: str, features: list[str]) -> DataFrame:
     """Score the periods that exist: gaps count as zero, delta models get the lag added."""
     scored = (
         matrix.select(entity, period, *features)
         .fillna(0.0, subset=features)
-        .join(coefs.select(entity, "coef", "intercept", "use_delta"), entity)
+        .join(aligned(coefs, features).select(entity, "coef", "intercept", "use_delta"), entity)
     )
     lag = F.coalesce(F.col("pop_lag1"), F.lit(0.0)) if "pop_lag1" in features else F.lit(0.0)
     raw = linear_score(features)
@@ -250,7 +269,7 @@ def roll_forward(
     handled = {"unemployment_rate", "rent_cpi_index", "pop_lag1", "pop_lag5", "pop_ma3", "pop_yoy_growth_pct", "pop_cagr_5yr_pct", period}
     others = [f for f in features if f not in handled]
     state = history_state(history, entity, period, others).join(
-        coefs.select(entity, "coef", "intercept", "use_delta"), entity
+        aligned(coefs, features).select(entity, "coef", "intercept", "use_delta"), entity
     )
     schema = T.StructType(
         [state.schema[entity], T.StructField(period, T.LongType())]

@@ -45,12 +45,10 @@ def with_moving_average(df: DataFrame, entity: str, period: str, value: str, row
 
 def fill_neighbours(df: DataFrame, entity: str, period: str, cols: list[str]) -> DataFrame:
     """Carry the last known value forward, then the first known one back."""
-    w = by_entity(entity, period)
-    before = w.rowsBetween(W.unboundedPreceding, 0)
-    after = w.rowsBetween(0, W.unboundedFollowing)
-    return df.withColumns(
-        {c: F.coalesce(F.last(c, ignorenulls=True).over(before), F.first(c, ignorenulls=True).over(after)) for c in cols}
-    )
+    running = (W.unboundedPreceding, 0)
+    before = by_entity(entity, period).rowsBetween(*running)
+    after = W.partitionBy(entity).orderBy(F.desc(period)).rowsBetween(*running)
+    return df.withColumns({c: F.coalesce(*[F.last(c, ignorenulls=True).over(w) for w in (before, after)]) for c in cols})
 
 
 def fill_mean(df: DataFrame, entity: str, cols: list[str]) -> DataFrame:

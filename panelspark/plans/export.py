@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..operators.forecast import future_features, predict
+from ..operators.forecast import future_features
 from ..sources.files import write_csv
-from .serve import indicator_slice, predictions_vs_actuals, window_slice
+from .serve import indicator_slice, predict_by_model, predictions_vs_actuals, window_slice
 
 STATUS_SCHEMA = "dataset string, model string, status string, detail string"
 
@@ -56,8 +56,8 @@ def export_bundle(
             status.append(("predictions", name, "error", "no trained model"))
             continue
         own = coefs.filter(F.col("model") == name)
-        predicted = predict(window, own, "geo_code", "year", features, start, end, history="window")
+        predicted = predict_by_model(window, own, features, start, end)
         write("predictions", name, predictions_vs_actuals(predicted, population, start, end))
-        if include_future:
+        if include_future and name != codes.TREND_MODEL:  # a trend makes no feature rows
             write("future_features", name, future_features(window, own, "geo_code", "year", features, end=end))
     return spark.createDataFrame(status, STATUS_SCHEMA)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions.guarded import all_present, compound_growth_pct, growth_pct
-from ..operators.panel import FIRST_YEAR, LAST_YEAR, cut_in, with_lags, with_moving_average
+from ..operators.panel import cut_in, with_lags, with_moving_average
 
 FEATURE_COLUMNS = [
     "population",
@@ -71,20 +71,21 @@ def facts_by_area(facts: DataFrame) -> DataFrame:
     )
 
 
-def fallback_index(indicators: DataFrame) -> DataFrame:
-    """Price index by year as a map from the nation and the four regions.
+def fallback_index(indicators: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """Price index by year as a map from the nation and the regions.
 
-    One row per calendar year and five entries in each, so it may be broadcast
-    whatever the size of the facts. Joining on the year by a shuffle would
-    leave one task per year.
+    One row per year, with an entry for the nation and each region: of the census
+    map, or of the given (prefix, region) table, which has at most 100 of them.
     """
-    areas = [codes.NATION, *codes.REGION_CODES]
+    single = indicators.filter((F.col("indicator_code") == codes.SHELTER_PRICES) & F.col("year").isNotNull())
+    if regions is None:
+        single = single.filter(F.col("geo_code").isin([codes.NATION, *codes.REGION_CODES]))
+    else:
+        named = region_lookup(regions).select(F.col("region").alias("geo_code")).filter(F.col("geo_code").isNotNull())
+        areas = named.unionByName(named.sparkSession.range(1).select(F.lit(codes.NATION).alias("geo_code"))).distinct()
+        single = single.join(F.broadcast(areas), "geo_code", "left_semi")
     single = (
-        indicators.filter(
-            (F.col("indicator_code") == codes.SHELTER_PRICES)
-            & F.col("geo_code").isin(areas)
-            & F.col("year").between(FIRST_YEAR, LAST_YEAR)
-        )
+        single
         .groupBy("geo_code", "year")
         .agg(F.max(F.col("value").cast("double")).alias("value"))
     )
@@ -93,6 +94,11 @@ def fallback_index(indicators: DataFrame) -> DataFrame:
     )
 
 
+def region_lookup(regions: DataFrame) -> DataFrame:
+    """One region for each two-digit prefix: at most 100 rows."""
+    return regions.filter(F.col("prefix").rlike(codes.STATE_PATTERN)).groupBy("prefix").agg(F.max("region").alias("region"))
+
+
 def with_region(df: DataFrame, regions: DataFrame | None) -> DataFrame:
     """Add ``region`` to area codes: the census map, or a (prefix, region) table.
 
@@ -101,13 +107,8 @@ def with_region(df: DataFrame, regions: DataFrame | None) -> DataFrame:
     """
     if regions is None:
         return df.withColumn("region", codes.region_of(F.col("geo_code")))
-    lookup = (
-        regions.filter(F.col("prefix").rlike(codes.STATE_PATTERN))
-        .groupBy("prefix")
-        .agg(F.max("region").alias("region"))
-    )
     prefix = F.when(codes.is_state_or_county(F.col("geo_code")), F.substring("geo_code", 1, 2))
-    return df.withColumn("prefix", prefix).join(F.broadcast(lookup), "prefix", "left").drop("prefix")
+    return df.withColumn("prefix", prefix).join(F.broadcast(region_lookup(regions)), "prefix", "left").drop("prefix")
 
 
 def joined_features(facts: DataFrame, prices: DataFrame, regions: DataFrame | None = None) -> DataFrame:
@@ -119,7 +120,7 @@ def joined_features(facts: DataFrame, prices: DataFrame, regions: DataFrame | No
     wide = facts_by_area(facts)
     wide = with_lags(wide, "geo_code", "year", "population", {1: "pop_lag1", 5: "pop_lag5"})
     wide = with_moving_average(wide, "geo_code", "year", "population", 3, "pop_ma3")
-    wide = with_region(wide, regions).join(F.broadcast(fallback_index(prices)), "year", "left")
+    wide = with_region(wide, regions).join(fallback_index(prices, regions), "year", "left")
 
     value, lag1, lag5 = F.col("population"), F.col("pop_lag1"), F.col("pop_lag5")
     return wide.withColumns(

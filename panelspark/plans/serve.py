@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..operators.forecast import future_features, predict
-from ..operators.panel import densify
+from ..operators.forecast import COVERED, FUTURE, future_features, predict
+from ..operators.panel import densify, fill_mean, fill_neighbours, fill_zero
 from ..operators.ranking import top_per_group
 from ..operators.registry import best_model
+from ..operators.regression import score_trend
 
 # ---- Fixed values -------------------------------------------------------------
 COMPARED_SURVEYS = ["ACS1_TOTAL_POP", "ACS5_TOTAL_POP"]
@@ -63,6 +64,31 @@ def attach_actuals(forecasts: DataFrame, population: DataFrame) -> DataFrame:
     return forecasts.withColumn("year", F.year("ds")).join(known, ["geo_code", "year"], "left").drop("year")
 
 
+def predict_trend(matrix: DataFrame, coefs: DataFrame, features: list[str], start: int, end: int) -> DataFrame:
+    """Trend models over every year of the range, past the data too.
+
+    Regressors that a year lacks come from the year before, else the next one that
+    has them, else the area's mean.
+    """
+    own = matrix.filter(_window(start, end)).join(coefs.select("geo_code").distinct(), "geo_code", "left_semi")
+    dense = densify(own.select("geo_code", "year", *features), "geo_code", "year", start, end)
+    filled = fill_zero(fill_mean(fill_neighbours(dense, "geo_code", "year", features), "geo_code", features), features)
+    last = own.groupBy("geo_code").agg(F.max("year").alias("last_year"))
+    scored = score_trend(filled, coefs, "geo_code", "year", features).join(last, "geo_code")
+    return scored.select("geo_code", "year", "yhat", F.when(F.col("year") <= F.col("last_year"), COVERED).otherwise(FUTURE).alias("kind"))
+
+
+def predict_by_model(
+    matrix: DataFrame, coefs: DataFrame, features: list[str], start: int, end: int, history: str = "window"
+) -> DataFrame:
+    """(geo_code, year, yhat, kind) of one stored model for each area, scored as its family asks for."""
+    trend = F.col("model") == codes.TREND_MODEL
+    linear = predict(matrix, coefs.filter(~trend), "geo_code", "year", features, start, end, history=history)
+    if "t0" not in coefs.columns:
+        return linear
+    return linear.unionByName(predict_trend(matrix, coefs.filter(trend), features, start, end))
+
+
 def predictions_vs_actuals(predictions: DataFrame, population: DataFrame, start: int, end: int) -> DataFrame:
     return predictions.select("geo_code", "year", F.col("yhat").alias("predicted")).join(
         actuals(population, start, end).withColumnRenamed("population", "actual"), ["geo_code", "year"], "left"
@@ -129,7 +155,7 @@ def best_model_series(
     """Predictions of each area's best model beside the actual values, every year of the range."""
     best = best_model(card)
     chosen = coefs.join(best.select("geo_code", F.col("best_model").alias("model")), ["geo_code", "model"], "left_semi")
-    predicted = predict(matrix, chosen, "geo_code", "year", features, start, end, history="window")
+    predicted = predict_by_model(matrix, chosen, features, start, end)
     both = predicted.select("geo_code", "year", "yhat").join(
         actuals(population, start, end).withColumnRenamed("population", "actual"), ["geo_code", "year"], "full_outer"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,13 +80,13 @@ def run_metrics(dated: DataFrame, by: list[str], split: int) -> DataFrame:
     return everything.unionByName(held_out)
 
 
-def run_id_of(split: int) -> Column:
-    """Run ids derive from area, model, data and split: a task that runs twice
-    yields the same id."""
-    return F.md5(F.concat_ws("|", "geo_code", "model", "live_hash", F.lit(str(split)))).alias("run_id")
+def run_id_of(split: int, batch: str) -> Column:
+    """Run ids derive from area, model, data, split and the job's batch: a task that
+    runs twice yields the same id, a second job other ones."""
+    return F.md5(F.concat_ws("|", "geo_code", "model", "live_hash", F.lit(str(split)), F.lit(batch))).alias("run_id")
 
 
-def run_rows(matrix: DataFrame, todo: DataFrame, features: list[str], split: int, horizon: int) -> DataFrame:
+def run_rows(matrix: DataFrame, todo: DataFrame, features: list[str], split: int, horizon: int, batch: str) -> DataFrame:
     """One registry row per trained pair, with its data span and settings."""
     sizes = matrix.groupBy("geo_code").agg(
         F.count("*").alias("rows"),
@@ -100,7 +101,7 @@ def run_rows(matrix: DataFrame, todo: DataFrame, features: list[str], split: int
             F.when(F.col("model") == "ridge", F.lit(RIDGE_ALPHA)).alias("alpha"),
         )
     )
-    runs = todo.select(run_id_of(split), "geo_code", "model", F.col("live_hash").alias("data_hash"))
+    runs = todo.select(run_id_of(split, batch), "geo_code", "model", F.col("live_hash").alias("data_hash"))
     return runs.join(sizes, "geo_code").withColumns(
         {"split_year": F.lit(split), "horizon": F.lit(horizon), "params": params}
     )
@@ -118,6 +119,7 @@ def train_all(
     horizon: int = HORIZON,
     rounds: int = ROUNDS,
     force: bool = False,
+    batch: str | None = None,
     keep_models: Callable[[DataFrame], None] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Run rows, forecasts and metrics of every pair the plan lists.
@@ -126,9 +128,11 @@ def train_all(
     coefficients of each family with their run ids.
     """
     models = models or FAMILIES
+    matrix = stored(matrix, "matrix")  # hashed, counted, fitted and scored from the same rows
     todo = stored(training_plan(matrix, pointers, models, min_years=min_years, force=force), "todo")
-    runs = run_rows(matrix, todo, features, split, horizon)
-    ids = todo.select(run_id_of(split), "geo_code", "model")
+    batch = batch or uuid.uuid4().hex
+    runs = run_rows(matrix, todo, features, split, horizon, batch)
+    ids = todo.select(run_id_of(split, batch), "geo_code", "model")
     parts = []
     for model in models:
         areas = todo.filter(F.col("model") == model).select("geo_code")

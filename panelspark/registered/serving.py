@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from .. import bindings as b
 from ..functions import codes
 from ..operators.registry import scorecard
+from ..operators.regression import fit_linear, fit_trend
 from ..plans import serve
 from ..plans.export import export_bundle as write_bundle
 from ..plans.features import REGRESSORS
 from ..session import fresh_dir, stored
+from ..sources.models import load_models, save_models
 from .base import query, r, rounded
 from .model_sql import roll_sql
 
@@ -123,3 +125,25 @@ def best_model_series(spark, d):
     people = b.population(spark, d).filter(F.length("geo_code") == 2)
     rows = serve.best_model_series(card, coefs, matrix, people, REGRESSORS, 1999, END)
     return rounded(rows, yhat=0)
+
+
+@query(
+    "predict_by_model",
+    """SELECT geo_code, CAST(CASE WHEN length(geo_code) = 2 THEN 8 ELSE n + 2007 - last_year END AS BIGINT) AS years,
+              CAST(2007 - last_year AS BIGINT) AS ahead FROM ends""",
+    ",\nends AS (SELECT geo_code, max(year) AS last_year, count(*) AS n FROM matrix WHERE year BETWEEN 2000 AND 2007 GROUP BY 1)",
+)
+def predict_by_model(spark, d):
+    """Every area has a trend or a linear model of our own trainer, and each answers for all years."""
+    matrix = stored(b.matrix(spark, d), "matrix")
+    state = F.length("geo_code") == 2
+    trend = fit_trend(matrix.filter(state), "geo_code", "year", "population", REGRESSORS)
+    linear = fit_linear(matrix.filter(~state), "geo_code", REGRESSORS, "population", alpha=1.0)
+    path = fresh_dir(spark, "models")
+    for coefs in (trend, linear):
+        save_models(coefs, path, "geo_code")
+    rows = serve.predict_by_model(matrix, load_models(spark, path), REGRESSORS, 2000, END + 3)
+    last = matrix.filter(F.col("year").between(2000, END + 3)).groupBy("geo_code").agg(F.max("year").alias("last_year"))
+    return rows.join(last, "geo_code").groupBy("geo_code").agg(
+        F.count("yhat").alias("years"), F.count_if(F.col("year") > F.col("last_year")).alias("ahead")
+    )

@@ -53,10 +53,16 @@ def test_choices_and_names(spark, rows):
     assert [r[0] for r in names.collect()] == ["xgb", "linear", None]
     stems = spark.createDataFrame([("10",), ("linear_10",), ("prophet_model_10",)], "s string")
     parts = stems.select(codes.artifact_model(F.col("s"), F.lit("ridge")), codes.artifact_area(F.col("s")))
-    assert [tuple(r) for r in parts.collect()] == [("ridge", "10"), ("linear", "10"), ("prophet", "model_10")]
+    assert [tuple(r) for r in parts.collect()] == [("ridge", "10"), ("linear", "10"), ("prophet", "10")]
 
 
 def test_times_and_clamp(spark):
     df = spark.sql("select timestamp'2024-05-06 07:08:09' as t, 20.0D as v")
     assert one(df.select(iso_utc(F.col("t")))) == "2024-05-06T07:08:09Z"
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        noon = spark.sql("select timestamp'2024-01-06 12:00:00Z' as t")
+        assert one(noon.select(iso_utc(F.col("t")))) == "2024-01-06T12:00:00Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert one(df.select(clamp(F.col("v"), 2.0, 15.0))) == 15.0
