@@ -222,8 +222,6 @@ def longest_common(item: np.ndarray, text: np.ndarray) -> int:
 def check(item: np.ndarray, text: np.ndarray) -> tuple[float, bool]:
     """(share of the item's words found in order, whether its answer is there)."""
     answer = item[-max(3, round(ANSWER * len(item))) :]
-    if np.isin(item, text).mean() < WITH_ANSWER:
-        return 0.0, False
     share = longest_common(item, text) / len(item)
     return share, share > 0 and longest_common(answer, text) >= 0.8 * len(answer)
 
@@ -236,27 +234,35 @@ def _search(docs: DataFrame, id_col: str, text_col: str, items: Items, item_type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, weight, basis, asked, of = shared.value
+        numbers = [terms(items.vocabulary, w).tolist() for w in items.words]
         for batch, begin, words in _pieces(batches, 1):
             hashes = words.hashes()
             # latent vectors add up: a passage is a half and the next one of its document
             doc, start, end = passages(words, PASSAGE // 2)
-            near = times(*sparse(terms(items.vocabulary, hashes), start, end, weight, size), basis, len(start))
+            term = terms(items.vocabulary, hashes)
+            near = times(*sparse(term, start, end, weight, size), basis, len(start))
             follows = np.flatnonzero(doc[1:] == doc[:-1])
             next_half = near[follows + 1]
             near[follows] += next_half
             end[follows] = end[follows + 1]
             near = unit(near)
             found: dict[tuple[int, int], tuple[float, float, bool]] = {}
+            widest = max(map(len, items.words))
             for a in range(0, len(near), 8192):
                 cosine = near[a : a + 8192] @ asked.T
-                for p, q in zip(*np.nonzero(cosine >= COSINE)):
+                last, around = -1, set()
+                for p, q in zip(*(x.tolist() for x in np.nonzero(cosine >= COSINE))):
                     key = (int(doc[a + p]), int(of[q]))
-                    if key in found and found[key][1] >= CERTAIN:
+                    low, high = words.first[key[0]], words.first[key[0] + 1]
+                    if p != last:  # words near the passage: a bound of any subsequence, for all items at once
+                        around = set(term[max(low, start[a + p] - widest) : min(high, end[a + p] + widest)].tolist())
+                        last = p
+                    own = numbers[key[1]]
+                    if sum(map(around.__contains__, own)) < WITH_ANSWER * len(own) or key in found and found[key][1] >= CERTAIN:
                         continue
-                    item = items.words[of[q]]
-                    low = max(words.first[key[0]], start[a + p] - len(item))
-                    high = min(words.first[key[0] + 1], end[a + p] + len(item))
-                    share, answer = check(item, hashes[low:high])
+                    item = items.words[key[1]]
+                    text = hashes[max(low, start[a + p] - len(item)) : min(high, end[a + p] + len(item))]
+                    share, answer = check(item, text)
                     if share >= CERTAIN or share >= WITH_ANSWER and answer:
                         if key not in found or found[key][1] < share:
                             found[key] = (float(cosine[p, q]), share, answer)
