@@ -76,12 +76,13 @@ def ragged(first: np.ndarray, length: np.ndarray) -> np.ndarray:
 def suffix_order(symbols: np.ndarray, string: np.ndarray) -> np.ndarray:
     """Suffix array of strings that each end in a 0; ends differ and sort by string. Prefix doubling."""
     n = len(symbols)
-    rank, step = np.where(symbols == 0, string, symbols + len(symbols)), 1
+    rank, step = np.where(symbols == 0, string, symbols + n).astype(np.int64), 1
     while True:
         second = rank[np.minimum(np.arange(n) + step, n - 1)]  # past an end nothing is left to decide
-        order = np.lexsort((second, rank))
-        a, b = rank[order], second[order]
-        new = np.r_[False, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+        both = rank * (int(rank.max()) + 1) + second
+        order = np.argsort(both)
+        both = both[order]
+        new = np.r_[False, both[1:] != both[:-1]]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new)
         if rank[order[-1]] == n - 1:
@@ -94,7 +95,14 @@ def transform(symbols: np.ndarray, string: np.ndarray, order: np.ndarray) -> np.
     return np.where((order > 0) & (string[order - 1] == string[order]), symbols[order - 1], 0)
 
 
-def merge(transforms: list[np.ndarray], ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def deal(values: np.ndarray) -> np.ndarray:
+    """Stable order by values below 2**32: two passes of counting, by the lower and the upper half."""
+    order = np.argsort((values & 0xFFFF).astype(np.uint16), kind="stable")
+    upper = (values >> 16).astype(np.uint16)
+    return order[np.argsort(upper[order], kind="stable")] if upper.any() else order
+
+
+def merge(transforms: list[np.ndarray], ends: list[int], most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Merge the transforms of shards: (shard of each merged suffix, symbols it shares with the one before).
 
     The interleave says from which shard each merged suffix comes. It starts unsorted;
@@ -102,11 +110,11 @@ def merge(transforms: list[np.ndarray], ends: list[int]) -> tuple[np.ndarray, np
     sorts by one symbol more, until no block of equal prefixes splits. When a block
     first splits is the length of the common prefix. No suffix is sorted again: only
     counts of symbols are used, and each shard keeps its order. ``ends`` has the number
-    of strings of each shard; their ends sort first, by shard and string.
+    of strings of each shard; their ends sort first, by shard and string. Prefixes are
+    followed up to ``most`` symbols; with longer ones the order of equal ones is open.
     """
     interleave = np.repeat(np.arange(len(transforms)), [len(t) for t in transforms])
     symbols = np.concatenate(transforms)
-    offset = np.cumsum([0] + [len(t) for t in transforms])[:-1]
     n, total_ends = len(symbols), sum(ends)
     block = np.zeros(n, np.int64)
     common = np.full(n, -1)
@@ -114,12 +122,9 @@ def merge(transforms: list[np.ndarray], ends: list[int]) -> tuple[np.ndarray, np
     length = 0
     while True:
         # the k-th suffix of a shard in the interleave is the k-th of its transform
-        by_shard = np.argsort(interleave, kind="stable")
         before = np.empty(n, symbols.dtype)
-        shard_start = np.searchsorted(interleave[by_shard], np.arange(len(transforms)))
-        place = np.arange(n) - shard_start[interleave[by_shard]] + offset[interleave[by_shard]]
-        before[by_shard] = symbols[place]
-        order = np.argsort(before, kind="stable")
+        before[deal(interleave)] = symbols
+        order = deal(before)
         dealt, source, previous = before[order], interleave[order], block[order]
         # suffixes that are an end alone keep their order by shard, and differ from each other
         source[:total_ends] = np.repeat(np.arange(len(transforms)), ends)
@@ -129,11 +134,11 @@ def merge(transforms: list[np.ndarray], ends: list[int]) -> tuple[np.ndarray, np
         split = new & (common < 0)
         common[split] = length
         fresh = np.cumsum(new)
-        if not split.any() and np.array_equal(source, interleave) and np.array_equal(fresh, block):
+        length += 1
+        if length == most or not split.any() and np.array_equal(source, interleave) and np.array_equal(fresh, block):
             common[common < 0] = length
-            return interleave, common
+            return source, common
         interleave, block = source, fresh
-        length += 1
 
 
 def repeated_starts(texts: Texts, starts: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> np.ndarray:
@@ -158,10 +163,11 @@ def repeated_starts(texts: Texts, starts: np.ndarray, counts: np.ndarray, shard:
         phrase = rolling.of(cut, np.where(follows, np.r_[cut[1:], 0], cut))
         number = np.unique(phrase, return_inverse=True)[1].astype(np.int64) + 1
         symbols = np.where(follows, number, 0)  # the last cut of a context ends its sequence
-        shared = shared_phrases(symbols, context, shard)
     place = ragged(begin, starts)
     left = np.searchsorted(cut, place + LOOK)  # the first cut that the string determines
     right = np.searchsorted(cut, place + STRING, "right") - 1
+    if len(cut):
+        shared = shared_phrases(symbols, context, shard, max(1, int((right - left).max(initial=1))))
     near = (right <= left) | (left >= len(cut))
     near |= shared[np.minimum(left, max(0, len(cut) - 1))] >= right - left if len(cut) else True
     near |= many > 1
@@ -173,8 +179,8 @@ def repeated_starts(texts: Texts, starts: np.ndarray, counts: np.ndarray, shard:
     return out
 
 
-def shared_phrases(symbols: np.ndarray, context: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    """For each symbol of the contexts' sequences: the longest run from it on that also starts elsewhere."""
+def shared_phrases(symbols: np.ndarray, context: np.ndarray, shard: np.ndarray, most: int) -> np.ndarray:
+    """For each symbol of the contexts' sequences: the longest run from it on, up to ``most``, that also starts elsewhere."""
     transforms, places, ends = [], [], []
     for s in np.unique(shard[context]):
         mine = np.flatnonzero(shard[context] == s)
@@ -183,9 +189,9 @@ def shared_phrases(symbols: np.ndarray, context: np.ndarray, shard: np.ndarray)
         transforms.append(transform(symbols[mine], local, order))
         places.append(mine[order])
         ends.append(len(names))
-    interleave, common = merge(transforms, ends)
+    interleave, common = merge(transforms, ends, most)
     merged = np.empty(len(symbols), np.int64)
-    merged[np.argsort(interleave, kind="stable")] = np.concatenate(places)
+    merged[deal(interleave)] = np.concatenate(places)
     out = np.empty(len(symbols), np.int64)
     out[merged] = np.maximum(common, np.append(common[1:], 0))
     return out
@@ -282,18 +288,26 @@ def _repeats(contexts: DataFrame) -> DataFrame:
         out = [(shard[alone][again], key[alone][again], np.full(again.sum(), -1), np.full(again.sum(), -1))]
         table = group.filter(pa.array(~alone))
         if table.num_rows:
+            # one context for each key; its count is that of all shards
+            _, first, same = np.unique(key[~alone], return_index=True, return_inverse=True)
+            many, senders = np.bincount(same, n[~alone]).astype(np.int64), np.argsort(same, kind="stable")
+            sent = np.searchsorted(same[senders], np.arange(len(first) + 1))
+            senders = shard[~alone][senders]
+            table = table.take(pa.array(first))
             binary = table.column("text").combine_chunks().cast(pa.large_binary())
             data = np.frombuffer(binary.buffers()[2], np.uint8)
             offsets = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
             texts = Texts(data[offsets[0] : offsets[-1]], offsets - offsets[0])
             starts = table.column("starts").to_numpy()
-            bad = repeated_starts(texts, starts, n[~alone], shard[~alone])
+            bad = repeated_starts(texts, starts, many, shard[~alone][first])
             context = np.repeat(np.arange(len(starts)), starts)
             within = ragged(np.zeros(len(starts), np.int64), starts)
             edge = bad & np.r_[True, ~bad[:-1] | (context[1:] != context[:-1])]
             close = bad & np.r_[~bad[1:] | (context[1:] != context[:-1]), True]
             of = context[edge]
-            out.append((shard[~alone][of], key[~alone][of], within[edge], within[close]))
+            each = sent[of + 1] - sent[of]  # every shard that sent the context gets the answer
+            to = senders[ragged(sent[of], each)]
+            out.append((to, *(np.repeat(x, each) for x in (key[~alone][first][of], within[edge], within[close]))))
         columns = [np.concatenate(c) for c in zip(*out)]
         kinds = [np.int32, np.int64, np.int64, np.int64]
         return pa.Table.from_arrays([pa.array(c.astype(k)) for c, k in zip(columns, kinds)], ["shard", "key", "low", "high"])
