@@ -18,8 +18,8 @@ from ..functions import codes
 from ..functions.guarded import number_or_null
 from ..operators.annual import annual_mean, annual_preferred, choose_canonical, decoded_series, stage_rollup
 from ..operators.panel import union_all
-from ..operators.quality import validation_report
-from ..operators.upsert import upsert
+from ..operators.quality import INDEX_RULES, POPULATION_RULES, RATE_RULES, split_by_rules, validation_report
+from ..operators.upsert import one_per_key, upsert
 from ..sources.documents import latest_points
 from ..sources.snapshots import publish, read_snapshot
 
@@ -48,6 +48,7 @@ INDICATOR_SCHEMA = T.StructType(
         T.StructField("etl_batch_id", T.StringType()),
     ]
 )
+CODE_SCHEMA = T.StructType([T.StructField("indicator_code", T.StringType())])
 INDICATOR_KEYS = ["geo_code", "year", "indicator_code"]
 STORED_CODES = [codes.BASELINE_POPULATION, *codes.SURVEY_INDICATORS.values(), codes.UNEMPLOYMENT, codes.SHELTER_PRICES]
 
@@ -65,6 +66,8 @@ class Batch:
     staged: DataFrame | None
     report: DataFrame | None
     changed_codes: list[str]
+    rejected: DataFrame | None = None
+    name: str | None = None
 
 
 def empty_core(spark: SparkSession) -> CoreTables:
@@ -75,6 +78,11 @@ def empty_core(spark: SparkSession) -> CoreTables:
     )
 
 
+def _listed_codes(spark: SparkSession, root: str) -> list[str]:
+    """Codes that batches have published; one row for each indicator, so few."""
+    return [row["indicator_code"] for row in read_snapshot(spark, f"{root}/indicator_codes", CODE_SCHEMA).collect()]
+
+
 def read_core(spark: SparkSession, root: str) -> CoreTables:
     """Current core tables. The code of each indicator snapshot is a literal, so
     a filter on codes leaves the other snapshots unread."""
@@ -82,7 +90,7 @@ def read_core(spark: SparkSession, root: str) -> CoreTables:
         read_snapshot(spark, f"{root}/indicators/{code}", INDICATOR_SCHEMA)
         .withColumn("indicator_code", F.lit(code))
         .select(*INDICATOR_SCHEMA.names)
-        for code in STORED_CODES
+        for code in sorted({*STORED_CODES, *_listed_codes(spark, root)})
     ]
     return CoreTables(
         read_snapshot(spark, f"{root}/geography", GEOGRAPHY_SCHEMA),
@@ -91,9 +99,27 @@ def read_core(spark: SparkSession, root: str) -> CoreTables:
     )
 
 
+def _ordinal(rows: DataFrame) -> str | None:
+    """The column that says which of two rows came later, if the source carries one."""
+    return "ordinal" if "ordinal" in rows.columns else None
+
+
 def publish_batch(before: CoreTables, batch: Batch, root: str) -> None:
-    """Write the tables and indicator codes that the batch changed."""
+    """Write what the batch staged, rejected and reported, then the tables and codes it changed.
+
+    The first three are folders of the batch, which a rerun replaces.
+    """
     after = batch.core
+    spark = after.indicators.sparkSession
+    if batch.name is not None:
+        parts = {"stage": batch.staged, "quarantine": batch.rejected, "report": batch.report}
+        for kind, rows in parts.items():
+            if rows is not None:
+                rows.write.mode("overwrite").parquet(f"{root}/{kind}/{batch.name}")
+    new = sorted(set(batch.changed_codes) - {*STORED_CODES, *_listed_codes(spark, root)})
+    if new:
+        codes_ = [(code,) for code in [*_listed_codes(spark, root), *new]]
+        publish(spark.createDataFrame(codes_, CODE_SCHEMA), f"{root}/indicator_codes")
     if after.geography is not before.geography:
         publish(after.geography, f"{root}/geography")
     if after.population is not before.population:
@@ -127,7 +153,10 @@ def _areas(rows: DataFrame) -> DataFrame:
 
 def load_surveys(core: CoreTables, staged: DataFrame, rows: DataFrame, batch: str) -> Batch:
     """Population rows of one or two surveys: canonical facts plus one mirror per survey."""
-    rows = rows.filter(F.col("population").isNotNull())
+    rows, rejected = split_by_rules(rows.filter(F.col("population").isNotNull()), POPULATION_RULES)
+    order = _ordinal(rows)
+    if order is not None:  # of several rows of one source the last one counts
+        rows = one_per_key(rows, ["geo_code", "year", "source"], order, last=True).drop(order)
     canonical = choose_canonical(rows)
     mirrors = rows.select(
         "geo_code",
@@ -153,6 +182,8 @@ def load_surveys(core: CoreTables, staged: DataFrame, rows: DataFrame, batch: st
         upsert(staged, stage_rows, ["geo_code", "year", "source"]) if staged is not None else stage_rows,
         report,
         mirror_codes,
+        rejected,
+        f"surveys-{batch}",
     )
 
 
@@ -164,6 +195,7 @@ def load_unemployment(core: CoreTables, points: DataFrame, batch: str) -> Batch:
     """
     staged = decoded_series(annual_preferred(points)).withColumn("etl_batch_id", F.lit(batch))
     rates = stage_rollup(scan_batch(staged, batch)).filter(F.col("unrate").isNotNull() & F.col("year").isNotNull())
+    rates, rejected = split_by_rules(rates.withColumn("value", F.col("unrate")), RATE_RULES)
     areas = rates.select("geo_code", F.col("geo_code").alias("geo_name"), "geo_type").distinct()
     rows = rates.select(
         "geo_code",
@@ -183,6 +215,8 @@ def load_unemployment(core: CoreTables, points: DataFrame, batch: str) -> Batch:
         staged,
         validation_report(staged, "bls", "unrate", "rate", "geo_code"),
         [codes.UNEMPLOYMENT],
+        rejected,
+        f"unemployment-{batch}",
     )
 
 
@@ -195,7 +229,8 @@ def _nation_row(like: DataFrame) -> DataFrame:
 
 def load_national_unemployment(core: CoreTables, points: DataFrame, batch: str) -> Batch:
     staged = annual_preferred(points).withColumn("etl_batch_id", F.lit(batch))
-    rows = staged.filter(F.col("value").isNotNull() & F.col("year").isNotNull()).select(
+    good, rejected = split_by_rules(staged.filter(F.col("value").isNotNull() & F.col("year").isNotNull()), RATE_RULES)
+    rows = good.select(
         F.lit(codes.NATION).alias("geo_code"),
         "year",
         F.lit(codes.UNEMPLOYMENT).alias("indicator_code"),
@@ -213,6 +248,8 @@ def load_national_unemployment(core: CoreTables, points: DataFrame, batch: str)
         staged,
         validation_report(staged, "bls-cps-us", "value", "rate", None),
         [codes.UNEMPLOYMENT],
+        rejected,
+        f"national-{batch}",
     )
 
 
@@ -226,6 +263,7 @@ def load_prices(core: CoreTables, observations: DataFrame, batch: str) -> Batch:
             "geo_name": codes.price_area_name(F.col("series_id")),
         }
     ).filter(F.col("geo_code").isNotNull() & F.col("value").isNotNull() & F.col("year").isNotNull())
+    placed, rejected = split_by_rules(placed, INDEX_RULES)
     areas = placed.select("geo_code", "geo_name", codes.price_area_type(F.col("geo_code")).alias("geo_type")).distinct()
     rows = placed.select(
         "geo_code",
@@ -245,6 +283,8 @@ def load_prices(core: CoreTables, observations: DataFrame, batch: str) -> Batch:
         staged,
         validation_report(staged, "fred", "value", "CPI value", None, empty="no observations"),
         [codes.SHELTER_PRICES],
+        rejected,
+        f"prices-{batch}",
     )
 
 

@@ -166,3 +166,59 @@ def test_merging_one_indicator_leaves_the_others_unread(spark):
     merged = ingest.merge_indicators(core.indicators, new, ["BLS_UNRATE"]).filter("indicator_code = 'BLS_UNRATE'")
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert merged.count() == 2 and plan.count("FileScan") == 1
+
+
+def test_bad_rows_go_to_quarantine_and_the_last_row_wins(spark, rows, tmp_path):
+    schema = "geo_code string, geo_name string, geo_type string, year int, source string, population bigint, ordinal int"
+    data = [("06", "A", "state", 2010, "ACS1", v, v) for v in (1, 2, 5, 3, 4)]
+    data += [("07", "B", "state", 2010, "ACS1", -5, 9), ("08", "C", "state", 3000, "ACS1", 7, 10)]
+    core, root = ingest.empty_core(spark), str(tmp_path)
+    for _ in range(2):  # a rerun changes nothing
+        batch = ingest.load_surveys(ingest.read_core(spark, root), None, spark.createDataFrame(data, schema), "b1")
+        ingest.publish_batch(core, batch, root)
+    assert rows(ingest.read_core(spark, root).population) == [("06", 2010, 5)]
+    bad = spark.read.parquet(f"{root}/quarantine/surveys-b1")
+    assert sorted((r.geo_code, tuple(r.broken_rules)) for r in bad.collect()) == [
+        ("07", ("population_not_negative",)),
+        ("08", ("year_in_calendar",)),
+    ]
+    assert spark.read.parquet(f"{root}/stage/surveys-b1").count() == 1
+
+
+def test_an_indicator_under_a_new_code_is_read_again(spark, tmp_path):
+    root, start = str(tmp_path), ingest.empty_core(spark)
+    row = [("06", 2010, "NEW_CODE", 1.0, "X", "u", "b")]
+    filled = ingest.CoreTables(start.geography, start.population, spark.createDataFrame(row, ingest.INDICATOR_SCHEMA))
+    ingest.publish_batch(start, ingest.Batch(filled, None, None, ["NEW_CODE"]), root)
+    assert ingest.read_core(spark, root).indicators.count() == 1
+
+
+def test_pooled_backtest_takes_any_period_keys(spark):
+    from panelspark.operators.backtest import pooled_backtest
+
+    data = [(y * 100 + m, float(m), 2.0 * m + y) for y in (2020, 2021) for m in range(1, 13)]
+    found = pooled_backtest(spark.createDataFrame(data, "period int, x double, v double"), "period", ["x"], "v", 202101)
+    assert found.count() == 12
+
+
+def test_prices_of_any_region(spark):
+    from panelspark.plans.features import fallback_index
+
+    prices = spark.createDataFrame([("R5", 2010, "CPI_SHELTER", 7.0), ("US", 2010, "CPI_SHELTER", 1.0)], "geo_code string, year int, indicator_code string, value double")
+    regions = spark.createDataFrame([("01", "R5")], "prefix string, region string")
+    assert fallback_index(prices, regions).first().index_by_area == {"R5": 7.0, "US": 1.0}
+
+
+def test_a_stored_trend_model_is_scored_as_a_trend(spark, tmp_path):
+    from panelspark.operators.regression import fit_trend
+    from panelspark.plans.serve import predict_by_model
+    from panelspark.sources.models import load_models, save_models
+
+    features = ["pop_lag1", "unemployment_rate"]
+    data = [("06", y, 1000.0 + 20 * (y - 2000), 980.0 + 20 * (y - 2000), 5.0, 1.0) for y in range(2000, 2020)]
+    matrix = spark.createDataFrame(data, "geo_code string, year int, population double, pop_lag1 double, unemployment_rate double, rent_cpi_index double")
+    save_models(fit_trend(matrix, "geo_code", "year", "population", features), str(tmp_path / "m"), "geo_code")
+    found = predict_by_model(matrix, load_models(spark, str(tmp_path / "m")), features, 2015, 2021)
+    values = {r.year: (r.yhat, r.kind) for r in found.collect()}
+    assert sorted(values) == list(range(2015, 2022)) and values[2020][1] == "future"
+    assert all(abs(values[y][0] - (1000 + 20 * (y - 2000))) < 15 for y in range(2015, 2020))
