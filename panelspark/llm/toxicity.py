@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .tables import query, read
 from .words import Texts, Words
 
@@ -21,6 +22,8 @@ WORDS, PAIRS, WIDTH, HIDDEN, ATTEND = 8192, 1024, 6, 8, 8
 SLOTS = 1 << 18
 #: At most so many labelled documents of each class train the network (counts use all of them).
 SAMPLE = {1: 800, 0: 1600}
+#: Labels that are sent to all tasks; more are joined by a shuffle.
+BROADCAST = 500_000
 EPOCHS, BATCH, RATE = 5, 64, 0.01
 #: In training, the vectors of so many words are left out, so that no word is learnt by heart.
 DROP = 0.5
@@ -315,8 +318,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label
     """A model from all labelled rows outside the held-out fold; None if a class is missing."""
     # one label for each id: the larger of several
     marks = labels.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label")).where("label in (0, 1)")
+    if marks.count() <= BROADCAST:  # texts need not move then
+        marks = F.broadcast(marks)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.where(F.crc32(F.col("id").cast("string")) % folds != 0).join(marks, "id").select("id", "text", F.col("label").cast("long").alias("label"))
+    rows = rows.where(F.crc32(F.col("id").cast("string")) % folds != 0).join(marks, "id")
+    rows = stored(rows.select("id", "text", F.col("label").cast("long").alias("label")), "labelled")
     table = counts(rows)
     totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
