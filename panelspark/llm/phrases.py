@@ -9,7 +9,7 @@ from itertools import compress
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -63,13 +63,13 @@ class PhraseAutomaton:
         return found - (PHRASE - 1)
 
 
-def shards(docs: DataFrame, id_col: str, text_col: str, size_of_shard: int) -> DataFrame:
-    """(shard, rank, id, text); rank is the id, the largest number for a null one."""
+def shards(docs: DataFrame, id_col: str, text_col: str, size_of_shard: int, *others: Column) -> DataFrame:
+    """(shard, rank, id, text, others); rank is the id, the largest number for a null one."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     number = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(-(-size // size_of_shard) or 1)).cast("int")
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    return docs.select(number.alias("shard"), rank.alias("rank"), F.col(id_col).alias("id"), text.alias("text"))
+    return docs.select(number.alias("shard"), rank.alias("rank"), F.col(id_col).alias("id"), text.alias("text"), *others)
 
 
 def _recurring(sharded: DataFrame) -> DataFrame:

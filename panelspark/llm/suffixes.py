@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from hashlib import sha256
 
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .tables import numbered, query, read
+from .tables import query, read
 from .phrases import shards
 from .words import Rolling, Texts, sliding_min
 
@@ -315,8 +315,8 @@ def _repeats(contexts: DataFrame) -> DataFrame:
     return contexts.groupBy("bucket").applyInArrow(run, "shard int, key long, low long, high long")
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each document: id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes).
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """One row for each document: id, n_bytes, n_removed, n_spans, kept_sha256, kept_text.
 
     A byte is removed if a string of 400 bytes covers it that also starts anywhere
     else, in the same document too; strings are judged on the input, and do not cross
@@ -328,17 +328,21 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     Strings are told apart by 64-bit hashes at last. Null texts are empty; a null id
     keeps its row; repeated rows are copies like others; an empty table gives no rows;
-    other columns are ignored.
+    other columns come along in the struct ``rest`` if ``carry`` names them. The hash is
+    that of the kept bytes; ``kept_text`` leaves out bytes of a letter that is cut apart.
     """
-    sharded = shards(docs, id_col, text_col, SHARD).select("shard", "id", "text")
+    rest = F.struct(*carry, F.isnull(text_col).alias("no_text")).alias("rest")
+    sharded = shards(docs, id_col, text_col, SHARD, rest).select("shard", "id", "text", "rest")
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    anchors = _anchors(sharded)
-    repeats = _repeats(_contexts(sharded, anchors, -(-size // BUCKET) or 1))
+    plain = sharded.select("shard", "text")
+    anchors = _anchors(plain)
+    repeats = _repeats(_contexts(plain, anchors, -(-size // BUCKET) or 1))
     hot = anchors.where("hot").select("shard", F.col("anchor").alias("key"), F.lit(-2).cast("long").alias("low"), F.lit(-2).cast("long").alias("high"))
     found = repeats.union(hot)
     answer = docs.select(F.col(id_col).alias("id")).schema
-    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept", "binary")):
+    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept_text", "string")):
         answer = answer.add(name, kind)
+    answer = answer.add(sharded.schema["rest"])
 
     def clean(texts: pa.Table, found: pa.Table) -> pa.Table:
         key, low, high = found.column("key").to_numpy().view(np.uint64), found.column("low").to_numpy(), found.column("high").to_numpy()
@@ -368,9 +372,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             for i, j in zip(piece.offsets[:-1].tolist(), piece.offsets[1:].tolist()):
                 left = piece.data[i:j][~gone[i:j]].tobytes()
                 out[3].append(sha256(left).hexdigest())
-                out[4].append(left)
+                out[4].append(left.decode("utf-8", "ignore"))
         numbers = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in out[:3]]
-        return pa.Table.from_arrays([texts.column("id"), *numbers, pa.array(out[3], pa.string()), pa.array(out[4], pa.binary())], answer.names)
+        return pa.Table.from_arrays([texts.column("id"), *numbers, pa.array(out[3], pa.string()), pa.array(out[4], pa.string()), texts.column("rest")], answer.names)
 
     pairs = sharded.groupBy("shard").cogroup(found.groupBy("shard"))
     return pairs.applyInArrow(clean, answer).withColumnRenamed("id", id_col)
@@ -379,23 +383,17 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 def strip_repeats(docs: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """The documents, all of them, with repeated strings cut out of the text; ``chars_col`` counts what is left.
 
-    Bytes of a letter of which only a part is cut are left out. A null text stays null.
+    Bytes of a letter of which only a part is cut are left out. A null text stays null. The
+    first other column, the id, spreads documents over shards.
     """
-    rows, number = numbered(docs)
-    cleaned = remove_repeats(rows, id_col=number, text_col=text_col).where("n_removed > 0").select(F.col(number).alias("n"), "kept")
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["n", "cut"])
-
-    cut = cleaned.mapInArrow(decode, "n long, cut string")
-    joined = rows.join(cut, F.col(number) == F.col("n"), "left")
-    text = F.coalesce("cut", text_col)
-    chars = F.when(F.col("n").isNotNull(), F.length("cut")).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType)
-    return joined.select(*(text.alias(c) if c == text_col else chars.alias(c) if c == chars_col else F.col(c) for c in docs.columns))
+    others = [c for c in docs.columns if c != text_col]
+    cut = remove_repeats(docs, id_col=others[0], text_col=text_col, carry=others)
+    changed = F.col("n_removed") > 0
+    text = F.when(~F.col("rest.no_text"), F.col("kept_text")).alias(text_col)
+    chars = F.when(changed, F.length("kept_text")).otherwise(F.col("rest")[chars_col]).cast(docs.schema[chars_col].dataType)
+    return cut.select(*(text if c == text_col else chars.alias(c) if c == chars_col else F.col("rest")[c].alias(c) for c in docs.columns))
 
 
 @query("op4_repeated_substrings")
 def op4(spark, folder):
-    return remove_repeats(read(spark, folder, "documents")).drop("kept")
+    return remove_repeats(read(spark, folder, "documents")).drop("kept_text", "rest")
