@@ -89,12 +89,8 @@ def region_map(spark, d):
 
 @query(
     "region_map_census",
-    """SELECT geo_code, CASE
-         WHEN substr(geo_code, 1, 2) IN ('09','23','25','33','34','36','42','44','50') THEN 'R1'
-         WHEN substr(geo_code, 1, 2) IN ('17','18','19','20','26','27','29','31','38','39','46','55') THEN 'R2'
-         WHEN substr(geo_code, 1, 2) IN ('01','05','10','11','12','13','21','22','24','28','37','40','45','47','48','51','54') THEN 'R3'
-         WHEN substr(geo_code, 1, 2) IN ('02','04','06','08','15','16','30','32','35','41','49','53','56') THEN 'R4' END AS region
-       FROM fx_geo""",
+    "SELECT geo_code, region FROM fx_geo LEFT JOIN listed ON regexp_full_match(geo_code, prefix || '([0-9]{3})?')",
+    ",\nlisted(prefix, region) AS (VALUES " + ", ".join(f"('{s}', '{k}')" for k, states in codes.REGION_STATES.items() for s in states) + ")",
 )
 def region_map_census(spark, d):
     return b.geography(spark, d).select("geo_code", codes.region_of(F.col("geo_code")).alias("region"))
