@@ -23,9 +23,9 @@ SHARD = 8 << 20
 LAST = (1 << 63) - 1
 
 
-def phrase_starts(words: Words) -> tuple[np.ndarray, np.ndarray]:
+def phrase_starts(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(word positions, hashes) of sampled phrases; every window inside a document holds one at least."""
-    hashes = Rolling(words.hashes()).every(PHRASE)
+    hashes = Rolling(hashes).every(PHRASE)
     if not len(hashes):
         return np.zeros(0, np.int64), hashes
     document = words.document()
@@ -45,22 +45,43 @@ def window_starts(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class PhraseAutomaton:
-    """Aho-Corasick over word numbers: finds every occurrence of confirmed phrases in a stream of words."""
+    """Aho-Corasick over words: finds every occurrence of confirmed phrases in a stream of words.
+
+    Nodes search their edges one by one, so they should have few: a word of the phrases
+    is written as three digits (four if there are many words), each place with letters
+    of its own, so that matches start and end with words. Other words are one letter.
+    """
+
+    OTHER = 255
 
     def __init__(self, phrases: np.ndarray):
-        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for phrase in map(tuple, phrases.tolist()):
-            self.machine.add_word(phrase, len(phrase))
-        if len(phrases):
-            self.machine.make_automaton()
+        """``phrases``: one row of word hashes for each."""
+        self.names = np.unique(phrases)
+        self.digits = 3 if len(self.names) <= 85**3 else 4
+        self.base = 255 // self.digits
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         self.empty = not len(phrases)
+        if not self.empty:
+            keys, length = self.letters(phrases.reshape(-1)), PHRASE * self.digits
+            for i in range(0, len(keys), length):
+                self.machine.add_word(keys[i : i + length])
+            self.machine.make_automaton()
+
+    def letters(self, words: np.ndarray) -> str:
+        at = np.minimum(np.searchsorted(self.names, words), len(self.names) - 1)
+        out = np.full((len(words), self.digits), self.OTHER, np.uint8)
+        known, number = self.names[at] == words, at
+        for place in range(self.digits):
+            out[known, place] = number[known] % self.base + place * self.base
+            number = number // self.base
+        return out.tobytes().decode("latin-1")
 
-    def occurrences(self, numbers: np.ndarray) -> np.ndarray:
+    def occurrences(self, words: np.ndarray) -> np.ndarray:
         """Where phrases start."""
         if self.empty:
             return np.zeros(0, np.int64)
-        found = np.fromiter((end for end, _ in self.machine.iter(tuple(numbers.tolist()))), np.int64)
-        return found - (PHRASE - 1)
+        found = np.fromiter((end for end, _ in self.machine.iter(self.letters(words))), np.int64)
+        return (found + 1) // self.digits - PHRASE
 
 
 def shards(docs: DataFrame, id_col: str, text_col: str, size_of_shard: int, *others: Column) -> DataFrame:
@@ -80,7 +101,7 @@ def _recurring(sharded: DataFrame) -> DataFrame:
             shard, rank = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for begin, _, texts in Texts.of(batch.column(2)).pieces():
                 words = texts.words()
-                at, hashes = phrase_starts(words)
+                at, hashes = phrase_starts(words, words.hashes())
                 doc = begin + np.searchsorted(words.first, at, "right") - 1
                 order = np.lexsort((doc, hashes))
                 hashes, doc = hashes[order], doc[order]
@@ -101,22 +122,22 @@ def _candidates(sharded: DataFrame, phrases: DataFrame) -> DataFrame:
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
         known = np.sort(found.column("hash").to_numpy().view(np.uint64))
         rank, hashes, ranks = texts.column("rank").to_numpy(), [], []
-        pieces, keys, phrases = [], [], []
+        pieces, phrases, named = [], [], []
         for begin, _, piece in Texts.of(texts.column("text")).pieces():
             words = piece.words()
             word = words.hashes()
-            at, phrase = phrase_starts(words)
-            at = at[np.isin(phrase, known)]
-            phrases.append(word[at[:, None] + np.arange(PHRASE)])
+            at, phrase = phrase_starts(words, word)
+            mine = np.isin(phrase, known)
+            phrase, first = np.unique(phrase[mine], return_index=True)
+            phrases.append(word[at[mine][first][:, None] + np.arange(PHRASE)])
+            named.append(phrase)
             pieces.append((begin, words, word))
-            keys.append(np.unique(word))
         if pieces:
-            names = np.unique(np.concatenate(keys))  # numbers of the shard's words
-            numbered = np.unique(np.searchsorted(names, np.concatenate(phrases)), axis=0)
-            automaton = PhraseAutomaton(numbered)
+            _, first = np.unique(np.concatenate(named), return_index=True)
+            automaton = PhraseAutomaton(np.concatenate(phrases)[first])
             for begin, words, word in pieces:
                 marks = np.zeros(len(word) + 1, np.int64)
-                at = automaton.occurrences(np.searchsorted(names, word))
+                at = automaton.occurrences(word)
                 np.add.at(marks, at, 1)
                 total = np.concatenate([[0], np.cumsum(marks)])
                 start, window = window_starts(words, word)

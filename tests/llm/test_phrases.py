@@ -52,7 +52,8 @@ def test_against_brute_force(spark, monkeypatch):
 
 def test_automaton_finds_every_occurrence():
     rng = np.random.default_rng(0)
-    text = rng.integers(0, 2, 400)
+    text = rng.integers(0, 2, 400).astype(np.uint64)
+    text[::97] = 5
     chosen = np.unique(np.array([text[i : i + PHRASE] for i in (3, 50, 51, 200)]), axis=0)
     known = {tuple(p) for p in chosen.tolist()}
     expected = [i for i in range(400 - PHRASE + 1) if tuple(text[i : i + PHRASE].tolist()) in known]
