@@ -5,6 +5,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from panelspark.registered import QUERIES
 
 from .oracle import connect, differences
 
@@ -19,7 +20,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     result = queries()[name](spark, FOLDER)
     if name in SQL:
