@@ -20,6 +20,7 @@ from ..operators.annual import annual_mean, annual_preferred, choose_canonical,
 from ..operators.panel import union_all
 from ..operators.quality import INDEX_RULES, POPULATION_RULES, RATE_RULES, split_by_rules, validation_report
 from ..operators.upsert import one_per_key, upsert
+from ..session import stored
 from ..sources.documents import latest_points
 from ..sources.snapshots import publish, read_snapshot
 
@@ -153,6 +154,7 @@ def _areas(rows: DataFrame) -> DataFrame:
 
 def load_surveys(core: CoreTables, staged: DataFrame, rows: DataFrame, batch: str) -> Batch:
     """Population rows of one or two surveys: canonical facts plus one mirror per survey."""
+    rows = stored(rows, "surveys")  # landed text is parsed once for facts, mirrors, areas, stage and report
     rows, rejected = split_by_rules(rows.filter(F.col("population").isNotNull()), POPULATION_RULES)
     order = _ordinal(rows)
     if order is not None:  # of several rows of one source the last one counts

@@ -11,6 +11,7 @@ from ..operators.panel import densify, fill_mean, fill_neighbours, fill_zero
 from ..operators.ranking import top_per_group
 from ..operators.registry import best_model
 from ..operators.regression import score_trend
+from ..session import stored
 
 # ---- Fixed values -------------------------------------------------------------
 COMPARED_SURVEYS = ["ACS1_TOTAL_POP", "ACS5_TOTAL_POP"]
@@ -138,6 +139,7 @@ def features_compare(
     projected = _long(future, {**COMPARED_FEATURES, "population_implied": IMPLIED_CODE}, "projected")
     both = known.unionByName(projected, allowMissingColumns=True)
     merged = both.groupBy("geo_code", "code", "year").agg(F.max("actual").alias("actual"), F.max("projected").alias("projected"))
+    merged = stored(merged, "merged")  # read for the keys and for the values
     order = [*COMPARED_SURVEYS, *COMPARED_FEATURES.values(), IMPLIED_CODE]
     return dense_series(merged, merged, start, end, order)
 
