@@ -87,15 +87,18 @@ class Network:
         self.p |= {"wa": normal(2 * h, ATTEND), "va": normal(ATTEND), "wo": normal(2 * h), "bo": np.zeros(1) - 1.0}
         self.scale, self.shift = 1.0, 0.0
 
-    def inputs(self, lexicon: Lexicon, odds: np.ndarray) -> np.ndarray:
-        """Word vector, mean of the letter pairs' vectors, log odds."""
-        p = self.p
-        letters = np.zeros((len(lexicon.hashes), WIDTH))
-        if len(lexicon.of):
-            heads = np.flatnonzero(np.r_[True, lexicon.of[1:] != lexicon.of[:-1]])
-            letters = np.add.reduceat(p["pair"][lexicon.pair], heads, axis=0) * lexicon.share[:, None]
-        word = p["word"][(lexicon.hashes % np.uint64(WORDS)).astype(np.int64)]
-        return np.concatenate([word, letters, 0.25 * odds[:, None]], axis=1)
+    def inputs(self, lexicon: Lexicon, odds: np.ndarray, dtype=np.float64) -> np.ndarray:
+        """Word vector, mean of the letter pairs' vectors, log odds; some words at a time, as pairs take room."""
+        p, n = self.p, len(lexicon.hashes)
+        out = np.empty((n, 2 * WIDTH + 1), dtype)
+        heads = np.searchsorted(lexicon.of, np.arange(n + 1))  # every word has a pair
+        for a in range(0, n, 16384):
+            b = min(n, a + 16384)
+            pairs = p["pair"][lexicon.pair[heads[a] : heads[b]]]
+            out[a:b, WIDTH : 2 * WIDTH] = np.add.reduceat(pairs, heads[a:b] - heads[a], axis=0) * lexicon.share[a:b, None]
+            out[a:b, :WIDTH] = p["word"][(lexicon.hashes[a:b] % np.uint64(WORDS)).astype(np.int64)]
+        out[:, 2 * WIDTH] = 0.25 * odds
+        return out
 
     def forward(self, vectors: np.ndarray, ids: np.ndarray, keep: list | None = None) -> np.ndarray:
         """A logit for each window; with ``keep``, what the backward pass needs goes there."""
@@ -230,7 +233,7 @@ class Model:
     def logits(self, words: Words) -> np.ndarray:
         """The largest logit of each document's windows."""
         lexicon = Lexicon.of_words(words)
-        vectors = self.network.inputs(lexicon, self.odds(lexicon.hashes)).astype(np.float32)
+        vectors = self.network.inputs(lexicon, self.odds(lexicon.hashes), np.float32)
         doc, place = windows(words)
         best = np.full(len(words.first) - 1, -np.inf)
         for a in range(0, len(doc), 8192):
@@ -273,7 +276,7 @@ def train(texts: list[str], labels: np.ndarray, clean: np.ndarray, toxic: np.nda
     begin = np.searchsorted(double.of, np.arange(2 * n))
     for epoch in range(EPOCHS):
         if epoch:
-            vectors = network.inputs(double, odds).astype(np.float32)
+            vectors = network.inputs(double, odds, np.float32)
             strength = np.concatenate([network.forward(vectors, ids[a : a + 8192]) for a in range(0, len(ids), 8192)])
         order = np.lexsort((-strength, doc))
         worst = order[np.r_[True, doc[order][1:] != doc[order][:-1]]]
@@ -294,7 +297,7 @@ def train(texts: list[str], labels: np.ndarray, clean: np.ndarray, toxic: np.nda
             logit = network.forward(vectors, local, kept)
             slope = (sigmoid(logit) - labels[doc[some]]) * weight[doc[some]] / len(some)
             adam.step(network.p, network.backward(small, vectors, local, kept[0], slope, mask))
-    vectors = network.inputs(double, odds).astype(np.float32)
+    vectors = network.inputs(double, odds, np.float32)
     logit = np.concatenate([network.forward(vectors, ids[a : a + 8192]) for a in range(0, len(ids), 8192)])
     best = np.full(len(texts), -np.inf)
     np.maximum.at(best, doc, logit)
