@@ -167,6 +167,13 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
     def hashes(self) -> np.ndarray:
-        """64-bit hash of each word's bytes, equal in every batch."""
-        rolling = Rolling(self.texts.data.astype(np.uint64) + np.uint64(1))
-        return rolling.of(self.start, self.end)
+        """64-bit hash of each word's bytes, equal in every batch; about a megabyte at a time."""
+        out = np.empty(len(self), np.uint64)
+        a = 0
+        while a < len(out):
+            low = self.start[a]
+            b = max(a + 1, int(np.searchsorted(self.end, low + (1 << 20), "right")))
+            rolling = Rolling(self.texts.data[low : self.end[b - 1]].astype(np.uint64) + np.uint64(1))
+            out[a:b] = rolling.of(self.start[a:b] - low, self.end[a:b] - low)
+            a = b
+        return out
