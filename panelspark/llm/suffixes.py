@@ -155,7 +155,7 @@ def repeated_starts(texts: Texts, starts: np.ndarray, counts: np.ndarray, shard:
     begin = texts.offsets[:-1]
     cut = np.flatnonzero((look & PHRASE_MASK) == 0) + LOOK
     context = np.searchsorted(texts.offsets, cut - LOOK, "right") - 1
-    inside = cut < texts.offsets[context + 1]
+    inside = cut <= texts.offsets[context + 1]  # a cut at the end closes the last phrase
     cut, context = cut[inside], context[inside]  # positions where a phrase starts
     shared = np.zeros(len(cut), np.int64)
     if len(cut):

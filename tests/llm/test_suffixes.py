@@ -65,5 +65,16 @@ def test_merged_transforms_give_order_and_common_prefixes():
         assert common.tolist() == lengths
 
 
+def test_repeats_that_end_their_document(spark):
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefghij \n") for _ in range(n))
+    rows = []
+    for i in range(0, 300, 2):
+        passage = text(400 + i % 6)
+        rows += [(i, text(rng.randint(0, 60)) + passage), (i + 1, text(rng.randint(0, 60)) + passage + text(rng.randint(1, 60)))]
+    found = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found), key=str) == brute(rows)
+
+
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
