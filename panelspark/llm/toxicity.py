@@ -301,18 +301,22 @@ def train(texts: list[str], labels: np.ndarray, clean: np.ndarray, toxic: np.nda
     logit = np.concatenate([network.forward(vectors, ids[a : a + 8192]) for a in range(0, len(ids), 8192)])
     best = np.full(len(texts), -np.inf)
     np.maximum.at(best, doc, logit)
-    network.scale, network.shift = calibrate(best, labels)
+    sampled = np.bincount(labels, minlength=2)
+    true = np.array(totals[::-1])
+    # the sample's classes count with their share of all labelled documents
+    part = true / true.sum() * len(labels) / np.maximum(sampled, 1)
+    network.scale, network.shift = calibrate(best, labels, part[labels])
     return Model(network, clean, toxic, totals)
 
 
-def calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Scale and shift that make the scores of documents most likely (Newton's method, a little shrunk)."""
+def calibrate(logits: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Scale and shift that make the scores of weighted documents most likely (Newton's method, a little shrunk)."""
     beta = np.array([1.0, 0.0])
     x = np.stack([logits, np.ones(len(logits))], axis=1)
     for _ in range(50):
         score = sigmoid(x @ beta)
-        curve = (x * (score * (1 - score))[:, None]).T @ x + np.diag([1e-1, 1e-3])
-        step = np.linalg.solve(curve, x.T @ (score - labels) + np.array([1e-1 * (beta[0] - 1), 1e-3 * beta[1]]))
+        curve = (x * (weight * score * (1 - score))[:, None]).T @ x + np.diag([1e-1, 1e-3])
+        step = np.linalg.solve(curve, x.T @ (weight * (score - labels)) + np.array([1e-1 * (beta[0] - 1), 1e-3 * beta[1]]))
         beta = beta - np.clip(step, -1, 1)
     return max(1e-3, float(beta[0])), float(beta[1])
 

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
+from panelspark.llm import toxicity
 from panelspark.llm.toxicity import WINDOW, Lexicon, Network, keep_clean, score, windows
 from panelspark.llm.words import Texts
 
@@ -79,6 +80,18 @@ def test_held_out_documents(spark):
     assert kept.count() == sum(r.predicted == 0 for r in found)
 
 
+def test_threshold_does_not_move_with_the_sample(spark, monkeypatch):
+    # one in four documents with the word is toxic, whatever share of the clean ones trains
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(10)}" for _ in range(12)) + (" maybe" if i % 2 else "")) for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 8 == 1)) for i, _ in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE", {1: 100, 0: 100})
+    found = [r for r in score(docs, marks).collect() if r.held_out]
+    assert np.mean([r.predicted for r in found]) < 0.05
+    assert abs(np.mean([r.score for r in found]) - 1 / 8) < 0.06
+
+
 def test_empty_and_unlabelled(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     marks = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
