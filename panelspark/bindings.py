@@ -299,12 +299,14 @@ def month_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def monthly_points(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly text values per nation; published annual values for even nations.
+    """Monthly text rates per nation; published annual values for even nations.
 
-    A dot stands for February of every fifth nation. Every twelfth series has an
-    id of unknown kind.
+    Rates lie below 90, but in every third year of every sixth nation they are 60
+    higher, so that some years break the rule for rates. A dot stands for February of
+    every fifth nation. Every twelfth series has an id of unknown kind.
     """
-    whole = F.expr("price div 100000")
+    raised = (F.col("c_nationkey") % 6 == 0) & (F.col("year") % 3 == 0)
+    whole = F.expr("price div 100000") % 90 + F.when(raised, 60).otherwise(0)
     months = (
         placed_orders(spark, folder)
         .groupBy("c_nationkey", "year", "month")

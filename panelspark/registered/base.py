@@ -153,7 +153,9 @@ mfeat AS (
   WHERE pop_lag1 IS NOT NULL AND pop_lag5 IS NOT NULL
 ),
 mnum AS (
-  SELECT c_nationkey, yr AS year, mon AS month, CAST(floor(sum(price) / 1000) AS BIGINT) AS number FROM oc GROUP BY 1, 2, 3
+  SELECT c_nationkey, yr AS year, mon AS month, CAST(floor(sum(price) / 1000) AS BIGINT) % 90
+         + CASE WHEN c_nationkey % 6 = 0 AND yr % 3 = 0 THEN 60 ELSE 0 END AS number
+  FROM oc GROUP BY 1, 2, 3
 ),
 mpoints AS (
   SELECT CASE WHEN c_nationkey % 12 = 11 THEN 'XXXXX' ELSE 'LASST' END

@@ -196,7 +196,7 @@ def pipeline_surveys(spark, d):
 @query(
     "pipeline_unemployment",
     f"""SELECT substr(series_id, 6, 2) AS geo_code, year, 'BLS_UNRATE' AS indicator_code, {r('value', 4, 'value')}, 'BLS' AS source, 'percent' AS unit, 'b1' AS etl_batch_id
-        FROM annual WHERE series_id LIKE 'LASST%' AND value IS NOT NULL""",
+        FROM annual WHERE series_id LIKE 'LASST%' AND value BETWEEN 0 AND 100""",
 )
 def pipeline_unemployment(spark, d):
     points, _ = docs.series_points(_landed(spark, b.series_documents(spark, d)))
@@ -206,7 +206,7 @@ def pipeline_unemployment(spark, d):
 
 @query(
     "pipeline_national",
-    f"SELECT 'US' AS geo_code, year, {r('value', 4, 'value')}, 'nation' AS geo_type FROM annual WHERE series_id = 'LASST010000000000003' AND value IS NOT NULL",
+    f"SELECT 'US' AS geo_code, year, {r('value', 4, 'value')}, 'nation' AS geo_type FROM annual WHERE series_id = 'LASST010000000000003' AND value BETWEEN 0 AND 100",
 )
 def pipeline_national(spark, d):
     points = b.monthly_points(spark, d).filter(F.col("series_id") == "LASST010000000000003")
@@ -253,7 +253,7 @@ def pipeline_baseline(spark, d):
 @query(
     "stream_landing",
     f"""SELECT substr(series_id, 6, 2) AS geo_code, year, {r('value', 4, 'value')} FROM annual
-        WHERE series_id LIKE 'LASST%' AND value IS NOT NULL""",
+        WHERE series_id LIKE 'LASST%' AND value BETWEEN 0 AND 100""",
 )
 def stream_landing(spark, d):
     """Documents picked up by two incremental runs; the second finds nothing new."""
