@@ -30,17 +30,23 @@ class PieceTable:
     """Finds pieces by the polynomial hash of their letters, many at a time.
 
     Slots take one piece each; pieces that find theirs taken go to a further table.
+    A bit for each slot of all beginnings of pieces tells where longer ones may follow.
     """
 
     BITS = 18
+    #: Bits of the slots of beginnings; a slot taken by chance costs a search, never a result.
+    BEGINNINGS = 22
 
     def __init__(self, pieces: list[str]):
-        codes = np.zeros(len(pieces), np.uint64)
+        codes, begun = np.zeros(len(pieces), np.uint64), set()
         for i, piece in enumerate(pieces):
             code = 0
             for letter in piece:
+                begun.add(code)
                 code = (code * int(BASE) + ord(letter) + 1) % 2**64
             codes[i] = code
+        self.begun = np.zeros(1 << self.BEGINNINGS, bool)
+        self.begun[self._beginning(np.array(sorted(begun), np.uint64))] = True
         self.tables, left = [], np.arange(len(pieces))
         while len(left):
             slot, first = np.unique(self.slot(codes[left]), return_index=True)
@@ -52,6 +58,13 @@ class PieceTable:
     def slot(self, codes: np.ndarray) -> np.ndarray:
         return (mix(codes) >> np.uint64(64 - self.BITS)).astype(np.int64)
 
+    def _beginning(self, codes: np.ndarray) -> np.ndarray:
+        return (mix(codes) >> np.uint64(64 - self.BEGINNINGS)).astype(np.int64)
+
+    def longer(self, codes: np.ndarray) -> np.ndarray:
+        """Whether a piece may go on after each hash."""
+        return self.begun[self._beginning(codes)]
+
     def find(self, codes: np.ndarray) -> np.ndarray:
         """The piece of each hash, -1 where there is none."""
         slot, found = self.slot(codes), np.full(len(codes), -1, np.int32)
@@ -93,24 +106,29 @@ class Vocabulary:
         self.log = np.log(share / share.sum() * (1 - BYTE_SHARE))
         self.log_byte = math.log(BYTE_SHARE / 256)
 
-    def edges(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """For words of one length with the mark: (start, end, piece or -1, log probability)."""
+    def edges(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For words of one length with the mark: (start, end, which words, piece or -1, log probability)."""
         if self.table is None:
             self.table = PieceTable(list(self.pieces))
         length = len(words[0])
         letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), length)
         size = 1 + (letters >= 0x80) + (letters >= 0x800) + (letters >= 0x10000)  # bytes of UTF-8
         for start in range(length):
-            code = np.zeros(len(words), np.uint64)
+            at, code = np.arange(len(words)), np.zeros(len(words), np.uint64)
             for end in range(start + 1, min(length, start + self.longest) + 1):
-                code = code * BASE + letters[:, end - 1] + np.uint64(1)
+                code = code * BASE + letters[at, end - 1] + np.uint64(1)
                 piece = self.table.find(code)
-                value = np.where(piece >= 0, self.log[piece], -np.inf)
                 if end == start + 1:
-                    value = np.logaddexp(value, size[:, start] * self.log_byte)
-                elif not (piece >= 0).any():
-                    continue
-                yield start, end, piece, value
+                    value = np.where(piece >= 0, self.log[piece], -np.inf)
+                    yield start, end, at, piece, np.logaddexp(value, size[:, start] * self.log_byte)
+                else:
+                    found = piece >= 0
+                    if found.any():
+                        yield start, end, at[found], piece[found], self.log[piece[found]]
+                more = self.table.longer(code)
+                at, code = at[more], code[more]
+                if not len(at):
+                    break
 
     def forward(self, words: list[str]) -> tuple[np.ndarray, list]:
         """Log-space forward recursion over all segmentations: log sums (words, positions), and the edges."""
@@ -118,8 +136,8 @@ class Vocabulary:
         out[:, 0] = 0
         edges = []
         for edge in self.edges(words):  # by start, so what ends there is complete
-            start, end, _, value = edge
-            out[:, end] = np.logaddexp(out[:, end], out[:, start] + value)
+            start, end, at, _, value = edge
+            out[at, end] = np.logaddexp(out[at, end], out[at, start] + value)
             edges.append(edge)
         return out, edges
 
@@ -137,12 +155,13 @@ class Vocabulary:
             alpha, edges = self.forward([MARK + words[i] for i in at])
             beta = np.full_like(alpha, -np.inf)
             beta[:, -1] = 0
-            for start, end, _, value in reversed(edges):
-                beta[:, start] = np.logaddexp(beta[:, start], value + beta[:, end])
-            for start, end, piece, _ in edges:
+            for start, end, which, _, value in reversed(edges):
+                beta[which, start] = np.logaddexp(beta[which, start], value + beta[which, end])
+            for start, end, which, piece, _ in edges:
                 known = piece >= 0
-                use = alpha[known, start] + self.log[piece[known]] + beta[known, end] - alpha[known, -1]
-                total += np.bincount(piece[known], np.exp(use) * counts[at][known], minlength=len(total))
+                which, piece = which[known], piece[known]
+                use = alpha[which, start] + self.log[piece] + beta[which, end] - alpha[which, -1]
+                total += np.bincount(piece, np.exp(use) * counts[at][which], minlength=len(total))
         return total
 
 
