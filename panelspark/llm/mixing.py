@@ -129,12 +129,14 @@ def mix(
     what the blocks that it lies in are taken.
 
     Equal rows are separate documents; a null id is one like others; an empty table
-    gives no rows; of other columns those named by ``carry`` are kept. The driver holds a row for each source,
-    and refuses more than MOST_SOURCES.
+    gives no rows; of other columns those named by ``carry`` are kept (with ``_``
+    behind a name that the result has already). Carried columns are read again for the last step and never stored. The driver
+    holds a row for each source, and refuses more than MOST_SOURCES.
     """
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = stored(docs.select(F.col(id_col), F.col(source_col).alias("source"), size.alias("size"), *carry), "sizes")
+    named = docs.select(F.col(id_col), F.col(source_col).alias("source"), size.alias("size"), F.struct(*carry).alias("rest"))
+    sized = stored(named.drop("rest"), "sizes")
     known = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     known = known.limit(MOST_SOURCES + 1).collect()
     if len(known) > MOST_SOURCES:
@@ -148,9 +150,14 @@ def mix(
         [(r.source, i, r.size, t, int(b), s) for i, (r, t, b, s) in enumerate(zip(known, target, wanted, shards))],
         "source string, code int, source_size long, target double, blocks_wanted long, n_shards int",
     )
-    own = sized.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    own = own.withColumn("shard", F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), "n_shards"))
-    quotas = own.groupBy("code", "shard", "blocks_wanted").agg(F.sum("size").alias("words"))
+    sources = sources.withColumnRenamed("source", "s")
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        own = rows.join(sources, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+        return own.withColumn("shard", F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), "n_shards"))
+
+    own = dealt(named if carry else sized)
+    quotas = dealt(sized).groupBy("code", "shard", "blocks_wanted").agg(F.sum("size").alias("words"))
     quotas = quotas.groupBy("code").applyInPandas(
         _shard_quotas(block, repeats, seed), "code int, shard long, blocks long, quota long, step long, shift long"
     )
@@ -164,7 +171,15 @@ def mix(
             least(end, (i + 1) * {block}) - greatest(begin, i * {block}), 0L))"""
     )
     taken = F.when(F.col("size") > 0, F.expr("size * (quota div blocks)") + once_more).otherwise(F.lit(0))
-    return placed.select(id_col, "size", "source", "source_size", "target", taken.cast("long").alias("taken"), *carry)
+    names = [id_col, "size", "source", "source_size", "target", "taken"]
+    rest = [F.col("rest")[c].alias(_free(c, names)) for c in carry]
+    return placed.withColumn("taken", taken.cast("long")).select(*names, *rest)
+
+
+def _free(name: str, taken: Sequence[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
 
 
 @query("op1_source_mixing")
