@@ -28,9 +28,13 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_first(docs)
 
 
+#: Bytes of the strings that the substring stage cuts out: passages of 50 words have more.
+PASSAGE, ANCHOR = 200, 64
+
+
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that stand in several places are cut out; every document stays."""
-    return strip_repeats(docs)
+    """Strings of PASSAGE bytes that stand in several places are cut out; every document stays."""
+    return strip_repeats(docs, string=PASSAGE, anchor=ANCHOR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

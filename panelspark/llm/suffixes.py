@@ -34,7 +34,7 @@ def _bytes_hash(data: np.ndarray) -> Rolling:
 class Contexts:
     """Runs of neighbouring string starts that have the same anchor.
 
-    A string's anchor is the leftmost 128 bytes with the least hash in it, so equal
+    A string's anchor is its leftmost part of the given length with the least hash, so equal
     strings have equal anchors at equal distances. A context is the text of all
     strings of a run; each string start of a document lies in exactly one.
     """
@@ -46,17 +46,17 @@ class Contexts:
     rolling: Rolling
 
     @classmethod
-    def of(cls, texts: Texts) -> Contexts:
+    def of(cls, texts: Texts, string: int, anchor: int) -> Contexts:
         rolling = _bytes_hash(texts.data)
-        hashes = rolling.every(ANCHOR)
-        width = STRING - ANCHOR + 1
+        hashes = rolling.every(anchor)
+        width = string - anchor + 1
         none = np.zeros(0, np.int64)
         if len(hashes) < width:
             return cls(none, none, none.view(np.uint64), none.view(np.uint64), rolling)
         low = np.uint64(0xFFFFFFFF)
         place = (sliding_min((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), width) & low).astype(np.int64)
         doc = np.searchsorted(texts.offsets, np.arange(len(place)), "right")
-        valid = np.arange(len(place)) + STRING <= texts.offsets[np.minimum(doc, len(texts))]
+        valid = np.arange(len(place)) + string <= texts.offsets[np.minimum(doc, len(texts))]
         at = np.flatnonzero(valid)
         if not len(at):
             return cls(none, none, none.view(np.uint64), none.view(np.uint64), rolling)
@@ -65,7 +65,7 @@ class Contexts:
         head = np.flatnonzero(new)
         starts = np.diff(np.append(head, len(at)))
         first = at[head]
-        return cls(first, starts, hashes[place[first]], rolling.of(first, first + starts - 1 + STRING), rolling)
+        return cls(first, starts, hashes[place[first]], rolling.of(first, first + starts - 1 + string), rolling)
 
 
 def ragged(first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -141,7 +141,7 @@ def merge(transforms: list[np.ndarray], ends: list[int], most: int | None = None
         interleave, block = source, fresh
 
 
-def repeated_starts(texts: Texts, starts: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> np.ndarray:
+def repeated_starts(texts: Texts, starts: np.ndarray, counts: np.ndarray, shard: np.ndarray, string: int = STRING) -> np.ndarray:
     """For each string start of the contexts (one text each, one after the other): does its string repeat?
 
     Contexts are cut into phrases where their content says so. Each shard's phrase
@@ -165,7 +165,7 @@ def repeated_starts(texts: Texts, starts: np.ndarray, counts: np.ndarray, shard:
         symbols = np.where(follows, number, 0)  # the last cut of a context ends its sequence
     place = ragged(begin, starts)
     left = np.searchsorted(cut, place + LOOK)  # the first cut that the string determines
-    right = np.searchsorted(cut, place + STRING, "right") - 1
+    right = np.searchsorted(cut, place + string, "right") - 1
     if len(cut):
         shared = shared_phrases(symbols, context, shard, max(1, int((right - left).max(initial=1))))
     near = (right <= left) | (left >= len(cut))
@@ -173,7 +173,7 @@ def repeated_starts(texts: Texts, starts: np.ndarray, counts: np.ndarray, shard:
     near |= many > 1
     out = many > 1
     at = np.flatnonzero(near)
-    key = rolling.of(place[at], place[at] + STRING)
+    key = rolling.of(place[at], place[at] + string)
     _, which = np.unique(key, return_inverse=True)
     out[at] = np.bincount(which, many[at])[which] > 1 if len(at) else False
     return out
@@ -197,20 +197,20 @@ def shared_phrases(symbols: np.ndarray, context: np.ndarray, shard: np.ndarray,
     return out
 
 
-def _anchors(sharded: DataFrame) -> DataFrame:
+def _anchors(sharded: DataFrame, string: int, anchor: int) -> DataFrame:
     """(shard, anchor, hot) of anchors with several contexts in all documents; hot ones have more than CROWD."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shard = batch.column(0).to_numpy()
             for begin, _, texts in Texts.of(batch.column(1)).pieces():
-                found = Contexts.of(texts)
+                found = Contexts.of(texts, string, anchor)
                 mine = shard[begin + np.searchsorted(texts.offsets, found.first, "right") - 1]
                 order = np.lexsort((mine, found.anchor))
-                anchor, mine, starts = found.anchor[order], mine[order], found.starts[order]
-                head = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (mine[1:] != mine[:-1])]) if len(mine) else np.zeros(0, np.int64)
+                code, mine, starts = found.anchor[order], mine[order], found.starts[order]
+                head = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (mine[1:] != mine[:-1])]) if len(mine) else np.zeros(0, np.int64)
                 count = np.diff(np.append(head, len(mine)))
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[head].view(np.int64)), pa.array(mine[head]), pa.array(count)], ["anchor", "shard", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(code[head].view(np.int64)), pa.array(mine[head]), pa.array(count)], ["anchor", "shard", "n"])
 
     seen = stored(sharded.select("shard", "text").mapInArrow(run, "anchor long, shard int, n long"), "anchors")
     again = seen.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", (F.col("n") > CROWD).alias("hot"))
@@ -223,7 +223,7 @@ def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, count
 
 
-def _contexts(sharded: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
+def _contexts(sharded: DataFrame, anchors: DataFrame, buckets: int, string: int, anchor_bytes: int) -> DataFrame:
     """(bucket, shard, key, n, starts, text): distinct contexts of each shard that may hold repeats.
 
     Contexts with one anchor meet in one bucket. If its anchor is hot, each string of a
@@ -240,7 +240,7 @@ def _contexts(sharded: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame
             return
         shard, total, strings = texts.column("shard")[0].as_py(), {}, []
         for _, _, piece in Texts.of(texts.column("text")).pieces():
-            own = Contexts.of(piece)
+            own = Contexts.of(piece, string, anchor_bytes)
             at = np.minimum(np.searchsorted(anchor, own.anchor), len(anchor) - 1)
             known = anchor[at] == own.anchor
             few, many = np.flatnonzero(known & ~hot[at]), np.flatnonzero(known & hot[at])
@@ -252,9 +252,9 @@ def _contexts(sharded: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame
                     total[key][1] += n
                 else:
                     a, size = int(own.first[i]), int(own.starts[i])
-                    total[key] = [int(own.anchor[i] % np.uint64(buckets)), n, size, raw[a : a + size - 1 + STRING]]
+                    total[key] = [int(own.anchor[i] % np.uint64(buckets)), n, size, raw[a : a + size - 1 + string]]
             place = ragged(own.first[many], own.starts[many])
-            strings.append(own.rolling.of(place, place + STRING))
+            strings.append(own.rolling.of(place, place + string))
         columns = list(zip(*total.values())) if total else [[], [], [], []]
         yield pa.RecordBatch.from_arrays([
             pa.array(columns[0], pa.int32()), pa.array([shard] * len(total), pa.int32()), pa.array(np.array(list(total), np.uint64).view(np.int64)),
@@ -277,7 +277,7 @@ def _contexts(sharded: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame
     return pairs.applyInArrow(whole, schema)
 
 
-def _repeats(contexts: DataFrame) -> DataFrame:
+def _repeats(contexts: DataFrame, string: int) -> DataFrame:
     """(shard, key, low, high): the string starts low to high of a context repeat; low is -1 for a string by itself."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -299,7 +299,7 @@ def _repeats(contexts: DataFrame) -> DataFrame:
             offsets = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
             texts = Texts(data[offsets[0] : offsets[-1]], offsets - offsets[0])
             starts = table.column("starts").to_numpy()
-            bad = repeated_starts(texts, starts, many, shard[~alone][first])
+            bad = repeated_starts(texts, starts, many, shard[~alone][first], string)
             context = np.repeat(np.arange(len(starts)), starts)
             within = ragged(np.zeros(len(starts), np.int64), starts)
             edge = bad & np.r_[True, ~bad[:-1] | (context[1:] != context[:-1])]
@@ -315,10 +315,12 @@ def _repeats(contexts: DataFrame) -> DataFrame:
     return contexts.groupBy("bucket").applyInArrow(run, "shard int, key long, low long, high long")
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), string: int = STRING, anchor: int = ANCHOR
+) -> DataFrame:
     """One row for each document: id, n_bytes, n_removed, n_spans, kept_sha256, kept_text.
 
-    A byte is removed if a string of 400 bytes covers it that also starts anywhere
+    A byte is removed if a string of ``string`` bytes covers it that also starts anywhere
     else, in the same document too; strings are judged on the input, and do not cross
     documents. Strings whose anchor, a sampled part, stands in one place only cannot
     repeat. The others meet, with their context, in the bucket of their anchor, where
@@ -331,12 +333,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     other columns come along in the struct ``rest`` if ``carry`` names them. The hash is
     that of the kept bytes; ``kept_text`` leaves out bytes of a letter that is cut apart.
     """
-    rest = F.struct(*carry, F.isnull(text_col).alias("no_text")).alias("rest")
+    rest = F.struct(F.isnull(text_col).alias("no_text"), F.struct(*carry).alias("carried")).alias("rest")
     sharded = shards(docs, id_col, text_col, SHARD, rest).select("shard", "id", "text", "rest")
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     plain = sharded.select("shard", "text")
-    anchors = _anchors(plain)
-    repeats = _repeats(_contexts(plain, anchors, -(-size // BUCKET) or 1))
+    anchors = _anchors(plain, string, anchor)
+    repeats = _repeats(_contexts(plain, anchors, -(-size // BUCKET) or 1, string, anchor), string)
     hot = anchors.where("hot").select("shard", F.col("anchor").alias("key"), F.lit(-2).cast("long").alias("low"), F.lit(-2).cast("long").alias("high"))
     found = repeats.union(hot)
     answer = docs.select(F.col(id_col).alias("id")).schema
@@ -351,17 +353,17 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         key, low, high = key[runs], low[runs], high[runs]
         out = [[], [], [], [], []]
         for _, _, piece in Texts.of(texts.column("text")).pieces():
-            own = Contexts.of(piece)
+            own = Contexts.of(piece, string, anchor)
             edge = np.zeros(len(piece.data) + 1, np.int64)
             a, b = np.searchsorted(key, own.key), np.searchsorted(key, own.key, "right")
             which, run = np.repeat(np.arange(len(a)), b - a), ragged(a, b - a)
             np.add.at(edge, own.first[which] + low[run], 1)
-            np.add.at(edge, own.first[which] + high[run] + STRING, -1)
+            np.add.at(edge, own.first[which] + high[run] + string, -1)
             crowded = np.flatnonzero(np.isin(own.anchor, hot)) if len(hot) else np.zeros(0, np.int64)
             place = ragged(own.first[crowded], own.starts[crowded])
-            place = place[np.isin(own.rolling.of(place, place + STRING), alone)]
+            place = place[np.isin(own.rolling.of(place, place + string), alone)]
             edge[place] += 1
-            edge[place + STRING] -= 1
+            edge[place + string] -= 1
             gone = np.cumsum(edge)[:-1] > 0
             head = gone & np.r_[True, ~gone[:-1]] if len(gone) else gone
             head[piece.offsets[:-1][piece.offsets[:-1] < len(gone)]] |= gone[piece.offsets[:-1][piece.offsets[:-1] < len(gone)]]
@@ -380,18 +382,28 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return pairs.applyInArrow(clean, answer).withColumnRenamed("id", id_col)
 
 
-def strip_repeats(docs: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """The documents, all of them, with repeated strings cut out of the text; ``chars_col`` counts what is left.
+def strip_repeats(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chars_col: str = "n_chars",
+    string: int = STRING,
+    anchor: int = ANCHOR,
+) -> DataFrame:
+    """The documents, all of them, with repeated strings cut out of the text; ``chars_col``, if there, counts what is left.
 
-    Bytes of a letter of which only a part is cut are left out. A null text stays null. The
-    first other column, the id, spreads documents over shards.
+    Bytes of a letter of which only a part is cut are left out. A null text stays null. Ids
+    spread documents over shards, whatever ids are null or repeated.
     """
     others = [c for c in docs.columns if c != text_col]
-    cut = remove_repeats(docs, id_col=others[0], text_col=text_col, carry=others)
-    changed = F.col("n_removed") > 0
-    text = F.when(~F.col("rest.no_text"), F.col("kept_text")).alias(text_col)
-    chars = F.when(changed, F.length("kept_text")).otherwise(F.col("rest")[chars_col]).cast(docs.schema[chars_col].dataType)
-    return cut.select(*(text if c == text_col else chars.alias(c) if c == chars_col else F.col("rest")[c].alias(c) for c in docs.columns))
+    cut = remove_repeats(docs, id_col=id_col, text_col=text_col, carry=others, string=string, anchor=anchor)
+    changed, carried = F.col("n_removed") > 0, F.col("rest.carried")
+    out = {c: carried[c] for c in others}
+    out[text_col] = F.when(~F.col("rest.no_text"), F.col("kept_text"))
+    if chars_col in others:
+        out[chars_col] = F.when(changed, F.length("kept_text")).otherwise(carried[chars_col]).cast(docs.schema[chars_col].dataType)
+    return cut.select(*(out[c].alias(c) for c in docs.columns))
 
 
 @query("op4_repeated_substrings")

@@ -47,6 +47,14 @@ def test_against_brute_force(spark, monkeypatch, shard, crowd):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found), key=str) == brute(rows)
 
 
+def test_other_lengths(spark):
+    rows = corpus(4)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for string, anchor in ((200, 64), (90, 30)):
+        found = remove_repeats(frame, string=string, anchor=anchor).collect()
+        assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found), key=str) == brute(rows, string)
+
+
 def test_merged_transforms_give_order_and_common_prefixes():
     rng = random.Random(7)
     for _ in range(40):
