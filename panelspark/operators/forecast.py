@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.guarded import clamp
 from .regression import linear_score
+from .trees import TREES, evaluate, tree_score
 
 # ---- Fixed values: roll-forward settings ------------------------------------
 LOOKBACK = 5
@@ -29,33 +30,48 @@ COVERED, FUTURE = "covered", "future"
 
 
 def aligned(coefs: DataFrame, features: list[str]) -> DataFrame:
-    """Coefficients in the order of ``features``, found by the names stored with them.
+    """Models made ready for columns in the order of ``features``, found by the names stored with them.
 
-    A stored ``rename_map`` gives the model's name of a column. Missing features, or
-    coefficients of another number, are an error when the row is used.
+    Coefficients are put in that order; trees keep theirs, and ``inputs`` says where each
+    of their features is. A stored ``rename_map`` gives the model's name of a column.
+    Missing features, or coefficients of another number, are an error when the row is used.
     """
     names = [F.lit(f) for f in features]
+    trees = F.col("trees") if "trees" in coefs.columns else F.lit(None).cast(TREES)
     fits = F.size("coef") == len(features)
-    coef = F.col("coef")
+    coef, inputs = F.col("coef"), F.lit(None).cast("array<int>")
     if "features" in coefs.columns:
         if "rename_map" in coefs.columns:
             names = [F.coalesce(F.try_element_at("rename_map", n), n) for n in names]
-        fits = fits & (F.size("features") == len(features)) & (F.size(F.array_except(F.array(*names), "features")) == 0)
+        fits = (fits | trees.isNotNull()) & (F.size("features") == len(features)) & (F.size(F.array_except(F.array(*names), "features")) == 0)
         places = F.transform(F.array(*names), lambda n: F.array_position("features", n).cast("int"))
         coef = F.transform(places, lambda i: F.get("coef", i - 1))
-    error = F.raise_error(F.lit(f"the stored model does not have the features {features}")).cast("array<double>")
-    return coefs.withColumn("coef", F.when(fits, coef).otherwise(error))
+        inputs = F.transform("features", lambda n: (F.array_position(F.array(*names), n) - 1).cast("int"))
+    error = F.raise_error(F.lit(f"the stored model does not have the features {features}"))
+    return coefs.withColumns(
+        {
+            "trees": trees,
+            "coef": F.when(fits, F.when(trees.isNull(), coef)).otherwise(error.cast("array<double>")),
+            "inputs": F.when(trees.isNotNull(), inputs),
+        }
+    )
+
+
+MODEL_PARTS = ["coef", "intercept", "use_delta", "trees", "inputs"]
 
 
 def predict_known(matrix: DataFrame, coefs: DataFrame, entity: str, period: str, features: list[str]) -> DataFrame:
-    """Score the periods that exist: gaps count as zero, delta models get the lag added."""
+    """Score the periods that exist, by coefficients or trees: gaps count as zero, delta models get the lag added."""
     scored = (
         matrix.select(entity, period, *features)
         .fillna(0.0, subset=features)
-        .join(aligned(coefs, features).select(entity, "coef", "intercept", "use_delta"), entity)
+        .join(aligned(coefs, features).select(entity, *MODEL_PARTS), entity)
     )
     lag = F.coalesce(F.col("pop_lag1"), F.lit(0.0)) if "pop_lag1" in features else F.lit(0.0)
     raw = linear_score(features)
+    if "trees" in coefs.columns:
+        values = F.array(*[F.col(f).cast("double") for f in features])
+        raw = F.when(F.col("trees").isNull(), raw).otherwise(tree_score(F.transform("inputs", lambda i: F.get(values, i))))
     return scored.select(entity, period, F.when(F.col("use_delta"), raw + lag).otherwise(raw).alias("yhat"))
 
 
@@ -175,12 +191,38 @@ def _append(tail: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(np.isnan(values)[:, None], tail, moved)
 
 
+def _scorer(batch: pd.DataFrame, features: list[str]) -> Callable[[dict[str, np.ndarray]], np.ndarray]:
+    """From the values of each feature to the predictions of a batch's models, coefficients and trees alike."""
+    size, intercept = len(batch), batch["intercept"].to_numpy("float64")
+    coef = np.array([c if c is not None else [0.0] * len(features) for c in batch["coef"]], dtype="float64").reshape(size, len(features))
+    grown = np.flatnonzero(batch["trees"].notna().to_numpy())
+    groups: dict[tuple[int, int], list[int]] = {}
+    for i in grown.tolist():  # models with as many trees and nodes go together
+        trees = batch["trees"].iloc[i]
+        groups.setdefault((len(trees), len(trees[0]["feature"]) if len(trees) else 0), []).append(i)
+    packed = []
+    for (count, _), at in groups.items():
+        if count:
+            own = [batch["trees"].iloc[i] for i in at]
+            parts = [np.array([[t[name] for t in trees] for trees in own]) for name in ("feature", "threshold", "leaf")]
+            packed.append((np.array(at), np.array(batch["inputs"].iloc[at].tolist(), dtype="int64"), parts))
+
+    def score(known: dict[str, np.ndarray]) -> np.ndarray:
+        out = intercept + sum(coef[:, i] * known[f] for i, f in enumerate(features))
+        for at, inputs, parts in packed:
+            x = np.stack([known[f][at] for f in features], axis=1)
+            out[at] = evaluate(np.take_along_axis(x, inputs, axis=1), intercept[at], *parts)
+        return out
+
+    return score
+
+
 def _roll_batch(batch: pd.DataFrame, entity: str, period: str, features: list[str], others: list[str], end: int | None, horizon: int | None) -> pd.DataFrame:
     size, width = len(batch), LOOKBACK + 1
     last_period = batch["last_period"].to_numpy("int64")
     until = np.full(size, end, dtype="int64") if end is not None else last_period + horizon
     longest = int(max((until - last_period).max(), 0))
-    coef, intercept = np.array(batch["coef"].tolist(), dtype="float64"), batch["intercept"].to_numpy("float64")
+    score = _scorer(batch, features)
     delta = batch["use_delta"].to_numpy("bool")
 
     levels, level_periods = _tail_matrix(batch["levels"])
@@ -223,7 +265,7 @@ def _roll_batch(batch: pd.DataFrame, entity: str, period: str, features: list[st
             period: (last_period + k + 1).astype("float64"),
             **constant,
         }
-        raw = intercept + sum(coef[:, i] * known[f] for i, f in enumerate(features))
+        raw = score(known)
         level = np.where(delta, raw + known["pop_lag1"], raw)
 
         anchored = ~np.isnan(lag1) & (lag1 > 0)
@@ -269,7 +311,7 @@ def roll_forward(
     handled = {"unemployment_rate", "rent_cpi_index", "pop_lag1", "pop_lag5", "pop_ma3", "pop_yoy_growth_pct", "pop_cagr_5yr_pct", period}
     others = [f for f in features if f not in handled]
     state = history_state(history, entity, period, others).join(
-        aligned(coefs, features).select(entity, "coef", "intercept", "use_delta"), entity
+        aligned(coefs, features).select(entity, *MODEL_PARTS), entity
     )
     schema = T.StructType(
         [state.schema[entity], T.StructField(period, T.LongType())]

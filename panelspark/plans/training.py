@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from ..functions.guarded import year_end
 from ..operators.backtest import is_train
-from ..operators.boosted import ROUNDS, fit_boosted, score_boosted
+from ..operators.boosted import ROUNDS
 from ..operators.forecast import backcast_and_naive_future
 from ..operators.metrics import as_metric_rows, forecast_metrics
 from ..operators.panel import fingerprint, union_all
 from ..operators.registry import drift_todo, ensure_pointers, point_latest_and_best, qualifying_entities
 from ..operators.regression import fit_linear, fit_trend, score_trend
+from ..operators.trees import TREE_MODEL, fit_trees
 from ..session import stored
 from ..sources.models import load_models, save_models
 from ..sources.snapshots import publish, read_snapshot
@@ -49,8 +50,8 @@ def _carried_rows(matrix: DataFrame, features: list[str], horizon: int) -> DataF
 
 def train_family(
     matrix: DataFrame, model: str, features: list[str], *, split: int, horizon: int, alpha: float = RIDGE_ALPHA, rounds: int = ROUNDS
-) -> tuple[DataFrame | None, DataFrame]:
-    """Coefficients (none for trees) and forecasts of one family for all areas in one job."""
+) -> tuple[DataFrame, DataFrame]:
+    """Models and forecasts of one family for all areas in one job."""
     train = matrix.filter(is_train("year", split))
     if model in ("linear", "ridge"):
         coefs = fit_linear(train, "geo_code", features, "population", alpha=alpha if model == "ridge" else 0.0)
@@ -58,10 +59,10 @@ def train_family(
     elif model == "prophet":
         coefs = fit_trend(train, "geo_code", "year", "population", features)
         forecasts = score_trend(_carried_rows(matrix, features, horizon), coefs, "geo_code", "year", features)
-    elif model == "xgb":
-        coefs = None
-        trees = fit_boosted(train, features, rounds=rounds)
-        forecasts = score_boosted(_carried_rows(matrix, features, horizon), trees, features)
+    elif model == TREE_MODEL:
+        coefs = fit_trees(train, "geo_code", "year", features, "population", rounds=rounds)
+        coefs = stored(coefs, "trees")  # grown once for keeping and for forecasts
+        forecasts = backcast_and_naive_future(matrix, coefs, "geo_code", "year", features, horizon)
     else:
         raise ValueError(f"invalid model: {model}")
     interval = [c for c in ("yhat_lo", "yhat_hi") if c in forecasts.columns]
@@ -140,7 +141,7 @@ def train_all(
             continue
         own = matrix.join(areas, "geo_code", "left_semi")
         coefs, forecasts = train_family(own, model, features, split=split, horizon=horizon, rounds=rounds)
-        if coefs is not None and keep_models is not None:
+        if keep_models is not None:
             keep_models(coefs.join(ids, ["geo_code", "model"]))
         parts.append(forecasts)
     if not parts:

@@ -55,12 +55,59 @@ def score_sql(features: list[str], prefix: str = "") -> str:
     return f"{prefix}x0" + "".join(f" + {prefix}x_{i} * {f}" for i, f in enumerate(features, 1))
 
 
-def roll_sql(name: str, history: str, coefs: str, key: str, period: str, until: str) -> str:
+LINEAR = ["x0", "x_1", "x_2", "x_3", "x_4"]
+LINEAR_LEVEL = "x0 + x_1 * coalesce(l1, 0.0) + x_2 * coalesce(l5, 0.0) + x_3 * u2 + x_4 * c2"
+
+
+def stump_sql(name: str, source: str, key: str, features: list[str], rounds: int, rate: float, target: str = "population") -> str:
+    """CTEs that end in ``name``(key, x0, f_1, t_1, a_1, b_1, f_2, ..): boosted trees of one split.
+
+    Tree k gives a_k where feature number f_k is below t_k, else b_k; f_k is NULL if nothing splits.
+    """
+    ctes = [f"{name}_r0 AS (SELECT *, avg({target}) OVER (PARTITION BY {key}) AS x0, {target} - avg({target}) OVER (PARTITION BY {key}) AS r FROM {source})"]
+    values = f"[{', '.join(features)}]"
+    for k in range(1, rounds + 1):
+        ctes += [
+            f"""{name}_v{k} AS (
+  SELECT {key}, f, v, sum(r) AS s, count(*) AS n
+  FROM (SELECT {key}, unnest(range(1, {len(features) + 1})) AS f, unnest({values}) AS v, r FROM {name}_r{k - 1}) GROUP BY ALL)""",
+            f"""{name}_c{k} AS (
+  SELECT *, sl * sl / (nl + 1) + (st - sl) * (st - sl) / (nt - nl + 1) - st * st / (nt + 1) AS gain
+  FROM (SELECT {key}, f, v, sum(s) OVER w AS sl, sum(n) OVER w AS nl, sum(s) OVER p AS st, sum(n) OVER p AS nt, lead(v) OVER w AS nv
+        FROM {name}_v{k} WINDOW w AS (PARTITION BY {key}, f ORDER BY v), p AS (PARTITION BY {key}, f)))""",
+            f"""{name}_b{k} AS (
+  SELECT {key}, CASE WHEN cut THEN f END AS f_{k}, CASE WHEN cut THEN v + (nv - v) / 2 END AS t_{k},
+         {rate} * CASE WHEN cut THEN sl / (nl + 1) ELSE st / (nt + 1) END AS a_{k},
+         {rate} * CASE WHEN cut THEN (st - sl) / (nt - nl + 1) ELSE st / (nt + 1) END AS b_{k}
+  FROM (SELECT *, nv IS NOT NULL AND gain > 1e-6 AS cut, max(gain) FILTER (WHERE nv IS NOT NULL) OVER (PARTITION BY {key}) AS most FROM {name}_c{k})
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY nv IS NULL, round(gain / most, 9) DESC, f, v) = 1)""",
+            f"""{name}_r{k} AS (
+  SELECT q.* REPLACE (r - CASE WHEN {values}[f_{k}] < t_{k} THEN a_{k} ELSE b_{k} END AS r), f_{k}, t_{k}, a_{k}, b_{k}
+  FROM {name}_r{k - 1} q JOIN {name}_b{k} USING ({key}))""",
+        ]
+    columns = ", ".join(["x0", *stump_columns(rounds)])
+    return ",\n".join(ctes) + f",\n{name} AS (SELECT DISTINCT {key}, {columns} FROM {name}_r{rounds})"
+
+
+def stump_columns(rounds: int) -> list[str]:
+    return [f"{c}_{k}" for k in range(1, rounds + 1) for c in "ftab"]
+
+
+def stump_score(values: str, rounds: int) -> str:
+    """Prediction from a list of feature values and the columns of :func:`stump_sql`."""
+    return "x0" + "".join(f" + CASE WHEN {values}[f_{k}] < t_{k} THEN a_{k} ELSE b_{k} END" for k in range(1, rounds + 1))
+
+
+def roll_sql(
+    name: str, history: str, coefs: str, key: str, period: str, until: str, columns: list[str] = LINEAR, score: str = LINEAR_LEVEL
+) -> str:
     """Recursive CTE ``name`` with one row per key and future period.
 
-    ``coefs`` has x0 and x_1..x_4 for lag1, lag5, rate and index; ``until`` is
-    the last period, in terms of the start row's columns.
+    ``coefs`` has the given columns, of which ``score`` makes the model's level from lag1,
+    lag5, rate and index (l1, l5, u2, c2); ``until`` is the last period, in terms of the
+    start row's columns.
     """
+    model = ", ".join(columns)
     return f"""{name}_h AS (
   SELECT {key}, CAST(max({period}) AS INTEGER) AS t0, list_slice(list(population ORDER BY {period}), -6, -1) AS lv,
          list_slice(list(CAST({period} AS INTEGER) ORDER BY {period}), -6, -1) AS pv,
@@ -68,11 +115,11 @@ def roll_sql(name: str, history: str, coefs: str, key: str, period: str, until:
   FROM {history} GROUP BY 1
 ),
 {name}_r AS (
-  SELECT {key}, t0, t0 AS t, CAST({until} AS INTEGER) AS stop, x0, x_1, x_2, x_3, x_4, lv, pv, ix, u,
+  SELECT {key}, t0, t0 AS t, CAST({until} AS INTEGER) AS stop, {model}, lv, pv, ix, u,
          CAST(NULL AS DOUBLE) AS yhat, CAST(NULL AS DOUBLE) AS lag1, CAST(NULL AS DOUBLE) AS lag5
   FROM {name}_h JOIN {coefs} USING ({key})
   UNION ALL
-  SELECT {key}, t0, CAST(t + 1 AS INTEGER), stop, x0, x_1, x_2, x_3, x_4, list_slice(list_append(lv, yh), -6, -1),
+  SELECT {key}, t0, CAST(t + 1 AS INTEGER), stop, {model}, list_slice(list_append(lv, yh), -6, -1),
          list_slice(list_append(pv, CAST(t + 1 AS INTEGER)), -6, -1), list_slice(list_append(ix, c2), -6, -1), u2, yh, l1, l5
   FROM (
     SELECT *, CASE WHEN l1 > 0 AND sd > 0 THEN l1 + least(dm + 2.0 * sd, greatest(dm - 2.0 * sd, blend - l1))
@@ -80,7 +127,7 @@ def roll_sql(name: str, history: str, coefs: str, key: str, period: str, until:
     FROM (
       SELECT *, 0.7 * level + 0.3 * l1 * (1.0 + g) AS blend
       FROM (
-        SELECT *, x0 + x_1 * coalesce(l1, 0.0) + x_2 * coalesce(l5, 0.0) + x_3 * u2 + x_4 * c2 AS level
+        SELECT *, {score} AS level
         FROM (
           SELECT *, greatest(2.0, least(15.0, 4.5 + (u - 4.5) * 0.5)) AS u2, ix[-1] * (1.0 + 0.6 * ig + 0.4 * 0.025) AS c2,
                  coalesce(list_avg(ds), 0.0) AS dm, coalesce(list_stddev_pop(ds), 0.0) AS sd

@@ -6,15 +6,17 @@ from pyspark.sql import functions as F
 
 from .. import bindings as b
 from ..functions import codes
+from ..operators.forecast import predict_known
 from ..operators.registry import scorecard
-from ..operators.regression import fit_linear, fit_trend
+from ..operators.regression import fit_linear
+from ..operators.trees import fit_trees, tree_nodes
 from ..plans import serve
 from ..plans.export import export_bundle as write_bundle
 from ..plans.features import REGRESSORS
 from ..session import fresh_dir, stored
 from ..sources.models import load_models, save_models
 from .base import query, r, rounded
-from .model_sql import roll_sql
+from .model_sql import fit_sql, roll_sql, score_sql, stump_columns, stump_score, stump_sql
 
 END = 2004
 
@@ -86,18 +88,43 @@ def _rolls(history):
     return ",\n".join(parts)
 
 
+#: Small trees of each area, which SQL can grow too.
+ROUNDS, RATE = 3, 0.5
+STUMPS = dict(rounds=ROUNDS, depth=1, rate=RATE, row_share=1, feature_share=1)
+STUMP_LEVEL = stump_score("[coalesce(l1, 0.0), coalesce(l5, 0.0), u2, c2]", ROUNDS)
+STUMP_KNOWN = stump_score(f"[{', '.join(REGRESSORS)}]", ROUNDS)
+
+
+def _stump_ctes(source, roll, history, until):
+    grown = stump_sql("stump", source, "geo_code", REGRESSORS, ROUNDS, RATE)
+    return grown + ",\n" + roll_sql(roll, history, "stump", "geo_code", "year", until, ["x0", *stump_columns(ROUNDS)], STUMP_LEVEL)
+
+
+def _stored(spark, *models):
+    path = fresh_dir(spark, "models")
+    for coefs in models:
+        save_models(coefs, path, "geo_code")
+    return load_models(spark, path)
+
+
 @query(
     "export_bundle",
     f"""SELECT p.geo_code, p.year, p.model, {r('p.yhat', 0, 'predicted')}, CAST(population AS DOUBLE) AS actual
-        FROM ({PREDICT_SQL} UNION ALL SELECT geo_code, year, 'linear', yhat FROM roll_linear UNION ALL SELECT geo_code, year, 'ridge', yhat FROM roll_ridge) p
+        FROM ({PREDICT_SQL} UNION ALL SELECT geo_code, year, 'linear', yhat FROM roll_linear UNION ALL SELECT geo_code, year, 'ridge', yhat FROM roll_ridge
+              UNION ALL SELECT geo_code, year, 'xgb', {STUMP_KNOWN} FROM matrix JOIN stump USING (geo_code) WHERE year BETWEEN 2000 AND 2004
+              UNION ALL SELECT geo_code, year, 'xgb', yhat FROM roll_xgb) p
         LEFT JOIN fx_pop f ON f.geo_code = p.geo_code AND f.year = p.year""",
-    ",\n" + COEF_SQL + ",\n" + _rolls("(SELECT * FROM matrix WHERE year BETWEEN 2000 AND 2004)"),
+    ",\n" + COEF_SQL + ",\n" + _rolls("(SELECT * FROM matrix WHERE year BETWEEN 2000 AND 2004)")
+    + ",\n" + _stump_ctes("matrix", "roll_xgb", "(SELECT * FROM matrix WHERE year BETWEEN 2000 AND 2004)", "2004"),
 )
 def export_bundle(spark, d):
-    """The predictions of an export, read back from its files."""
+    """The predictions of an export, read back from its files; trees come from the model store."""
     root = fresh_dir(spark, "export")
     matrix, people = stored(b.matrix(spark, d), "matrix"), stored(b.population(spark, d), "population")
-    write_bundle(root, b.indicators(spark, d), matrix, people, _coefs(matrix), REGRESSORS, 2000, END)
+    trees = _stored(spark, fit_trees(matrix, "geo_code", "year", REGRESSORS, "population", **STUMPS))
+    lines = _coefs(matrix).withColumn("features", F.array(*map(F.lit, REGRESSORS)))
+    models = trees.select("geo_code", "model", "features", "coef", "intercept", "use_delta", "trees").unionByName(lines, allowMissingColumns=True)
+    write_bundle(root, b.indicators(spark, d), matrix, people, models, REGRESSORS, 2000, END)
     schema = "geo_code string, year int, predicted double, actual double, model string"
     rows = spark.read.schema(schema).option("header", True).csv(f"{root}/predictions")
     return rounded(rows, predicted=0)
@@ -127,23 +154,57 @@ def best_model_series(spark, d):
     return rounded(rows, yhat=0)
 
 
+STATE, COUNTY = "length(geo_code) = 2", "length(geo_code) <> 2"
+LONG = "(SELECT * FROM matrix WHERE year BETWEEN 2000 AND 2007)"
+
+
 @query(
     "predict_by_model",
-    """SELECT geo_code, CAST(CASE WHEN length(geo_code) = 2 THEN 8 ELSE n + 2007 - last_year END AS BIGINT) AS years,
-              CAST(2007 - last_year AS BIGINT) AS ahead FROM ends""",
-    ",\nends AS (SELECT geo_code, max(year) AS last_year, count(*) AS n FROM matrix WHERE year BETWEEN 2000 AND 2007 GROUP BY 1)",
+    f"""SELECT geo_code, year, {r('yhat', 0, 'yhat')}, kind FROM (
+          SELECT geo_code, year, {STUMP_KNOWN} AS yhat, 'covered' AS kind FROM {LONG} JOIN stump USING (geo_code)
+          UNION ALL SELECT geo_code, year, yhat, 'future' FROM roll_xgb
+          UNION ALL SELECT geo_code, year, {score_sql(REGRESSORS[:1])}, 'covered' FROM {LONG} JOIN line USING (geo_code)
+          UNION ALL SELECT geo_code, year, yhat, 'future' FROM roll_line)""",
+    ",\n" + _stump_ctes(f"(SELECT * FROM matrix WHERE {STATE})", "roll_xgb", LONG, "2007")
+    + ",\n" + fit_sql("line", f"(SELECT * FROM matrix WHERE {COUNTY})", "geo_code", REGRESSORS[:1], alpha=1.0)
+    + ",\n" + roll_sql("roll_line", LONG, "(SELECT *, 0 AS x_2, 0 AS x_3, 0 AS x_4 FROM line)", "geo_code", "year", "2007"),
 )
 def predict_by_model(spark, d):
-    """Every area has a trend or a linear model of our own trainer, and each answers for all years."""
+    """Stored trees of the states and stored lines of the counties, each scored and rolled forward."""
     matrix = stored(b.matrix(spark, d), "matrix")
     state = F.length("geo_code") == 2
-    trend = fit_trend(matrix.filter(state), "geo_code", "year", "population", REGRESSORS)
-    linear = fit_linear(matrix.filter(~state), "geo_code", REGRESSORS, "population", alpha=1.0)
-    path = fresh_dir(spark, "models")
-    for coefs in (trend, linear):
-        save_models(coefs, path, "geo_code")
-    rows = serve.predict_by_model(matrix, load_models(spark, path), REGRESSORS, 2000, END + 3)
-    last = matrix.filter(F.col("year").between(2000, END + 3)).groupBy("geo_code").agg(F.max("year").alias("last_year"))
-    return rows.join(last, "geo_code").groupBy("geo_code").agg(
-        F.count("yhat").alias("years"), F.count_if(F.col("year") > F.col("last_year")).alias("ahead")
-    )
+    trees = fit_trees(matrix.filter(state), "geo_code", "year", REGRESSORS, "population", **STUMPS)
+    line = fit_linear(matrix.filter(~state), "geo_code", REGRESSORS[:1], "population", alpha=1.0)
+    models = _stored(spark, trees, line)
+    parts = [
+        serve.predict_by_model(matrix, models.filter(F.col("model") == name), features, 2000, END + 3)
+        for name, features in (("xgb", REGRESSORS), ("ridge", REGRESSORS[:1]))
+    ]
+    return rounded(parts[0].unionByName(parts[1]), yhat=0)
+
+
+@query(
+    "tree_nodes",
+    """SELECT geo_code, CAST(k - 1 AS INTEGER) AS tree, CAST(node AS INTEGER) AS node,
+              CASE WHEN node = 0 AND f IS NOT NULL THEN ['pop_lag1', 'pop_lag5', 'unemployment_rate', 'rent_cpi_index'][f] END AS feature,
+              CASE WHEN node = 0 AND f IS NOT NULL THEN 1 END AS "left", CASE WHEN node = 0 AND f IS NOT NULL THEN 2 END AS "right",
+              """ + r("CASE WHEN node = 2 THEN b WHEN node = 1 OR f IS NULL THEN a END", 0, "leaf") + f"""
+       FROM (SELECT geo_code, unnest(range(1, {ROUNDS + 1})) AS k, unnest([{', '.join(f'f_{k}' for k in range(1, ROUNDS + 1))}]) AS f,
+                    unnest([{', '.join(f'a_{k}' for k in range(1, ROUNDS + 1))}]) AS a, unnest([{', '.join(f'b_{k}' for k in range(1, ROUNDS + 1))}]) AS b FROM stump),
+            (SELECT unnest(range(0, 3)) AS node) s
+       WHERE node = 0 OR f IS NOT NULL""",
+    ",\n" + stump_sql("stump", "matrix", "geo_code", REGRESSORS, ROUNDS, RATE),
+)
+def tree_nodes_(spark, d):
+    """The nodes of every area's stored trees."""
+    trees = _stored(spark, fit_trees(b.matrix(spark, d), "geo_code", "year", REGRESSORS, "population", **STUMPS))
+    return rounded(tree_nodes(trees, "geo_code").drop("threshold"), leaf=0)
+
+
+@query("boosted_areas")
+def boosted_areas(spark, d):
+    """The trees of every area and month at full size, stored and then served."""
+    rows = stored(b.month_features(spark, d), "months").withColumnsRenamed({"entity": "geo_code", "period": "year"})
+    trees = fit_trees(rows.filter(F.col("year") <= 24000), "geo_code", "year", REGRESSORS, "population")
+    scored = predict_known(rows, _stored(spark, trees), "geo_code", "year", REGRESSORS)
+    return scored.join(rows.select("geo_code", "year", "population"), ["geo_code", "year"])

@@ -17,6 +17,7 @@ OPTIONAL_COLUMNS = {
     "t0": "double",
     "t_span": "double",
     "residual_std": "double",
+    "trees": "array<struct<feature:array<int>,threshold:array<double>,leaf:array<double>>>",
 }
 
 
