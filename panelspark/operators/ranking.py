@@ -2,17 +2,19 @@
 
 ``row_number() <= k`` needs no care for large groups: Spark keeps only k rows
 per key and task before the shuffle (WindowGroupLimit). A full ranking must
-order every row of a group, so groups that hold too large a share of all rows
-are cut into ranges of the sort key, ranked range by range, and shifted.
+order every row of a group, so large groups are cut into ranges of the sort key,
+ranked range by range, and shifted.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SHARE = 1000        # a group is large when it holds more than 1/SHARE of the rows
+RANGES = 1000  # of a group at most, so that its cut points are a short list
 SAMPLES_PER_RANGE = 8
 
 
@@ -30,78 +32,42 @@ def newest_first(col: str) -> Column:
     return -F.unix_micros(F.col(col).cast("timestamp"))
 
 
-def group_sizes(df: DataFrame, by: list[str]) -> DataFrame:
-    return df.groupBy(*by).agg(F.count("*").alias("_n"))
-
-
-def size_limit(sizes: DataFrame, smallest_split: int) -> tuple[int, bool]:
-    """Rows a group may have before it is cut, and whether any group has more."""
-    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    limit = max((total or 0) // SHARE, smallest_split)
-    return limit, (largest or 0) > limit
-
-
-def has_large_group(df: DataFrame, by: list[str], smallest_split: int = 100_000) -> bool:
-    return size_limit(group_sizes(df, by), smallest_split)[1]
-
-
-def with_row_number(
-    df: DataFrame,
-    by: list[str],
-    ascending: list[Column],
-    name: str,
-    smallest_split: int = 100_000,
-    split: bool | None = None,
-) -> DataFrame:
-    """Number the rows of each group by the given ascending keys.
+def with_row_number(df: DataFrame, by: list[str], ascending: list[Column], name: str, smallest_split: int = 100_000) -> DataFrame:
+    """Number the rows of each group by the given ascending keys, which are unique within a group.
 
-    The keys must be unique within a group. Unless the caller knows whether to
-    ``split``, a first, column-pruned job counts the groups. Without any above
-    1/SHARE of all rows this is a plain window. Otherwise a hash sample of the
-    sort keys of the large groups, at most SHARE of them, gives cut points; it
-    decides only where ranges begin, every row is ranked.
+    Groups of more than ``smallest_split`` rows are cut into ranges of about that many, at
+    most RANGES of them, by cut points from a hash sample of their keys; the ranges are
+    numbered in parallel and shifted by the rows before them. The sample decides only
+    where ranges begin, every row is numbered. Sizes, cut points and shifts are parts of
+    one plan, without a job of their own, and a NULL group is one like others.
     """
-    key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(ascending)])
     group = by or ["_all"]
     keyed = df if by else df.withColumn("_all", F.lit(0))
-    plain = split is False
-    if not plain:
-        sizes = group_sizes(keyed, group)
-        limit, found = size_limit(sizes, smallest_split)
-        plain = not found
-    if plain:
-        numbered = keyed.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*ascending)))
-        return numbered.select(*df.columns, name)
-
-    large = sizes.filter(F.col("_n") > limit)
-    step = max(limit // SAMPLES_PER_RANGE, 1)
-    keyed = keyed.withColumn("_key", key)
-    cuts = (
-        keyed.join(F.broadcast(large.drop("_n")), group, "left_semi")
-        .filter(F.pmod(F.xxhash64("_key"), F.lit(step)) == 0)
-        .groupBy(*group)
-        .agg(F.sort_array(F.collect_list("_key")).alias("_sample"))
-        .select(*group, F.expr(f"filter(_sample, (k, i) -> i % {SAMPLES_PER_RANGE} = 0)").alias("_cuts"))
-    )
-    ranged = (
-        keyed.join(F.broadcast(cuts), group, "left")
-        .withColumn(
-            "_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_key"))), F.lit(0))
-        )
-        .withColumn("_range", F.greatest("_range", F.lit(0)))
-        .drop("_cuts")
-    )
-    # Only large groups have ranges above 0: at most SHARE * SAMPLES_PER_RANGE rows.
-    counts = ranged.join(F.broadcast(cuts.select(*group)), group, "left_semi").groupBy(*group, "_range").count()
-    before = W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    shifts = counts.select(*group, "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))
+    keyed = keyed.withColumn("_key", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(ascending)]))
+
+    def beside(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+        named = right.withColumnsRenamed({c: f"_of_{c}" for c in on})
+        same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in on))
+        return left.join(named, same, how).drop(*(f"_of_{c}" for c in on))
+
+    sizes = keyed.groupBy(*group).agg(F.count("*").alias("_n")).filter(F.col("_n") > smallest_split)
+    wanted = F.least(F.ceil(F.col("_n") / smallest_split), F.lit(RANGES)) * SAMPLES_PER_RANGE
+    lucky = F.pmod(F.xxhash64("_key"), F.greatest(F.floor(F.col("_n") / wanted), F.lit(1)).cast("long")) == 0
+    sample = beside(keyed.select(*group, "_key"), sizes, group, "inner").filter(lucky)
+    every = F.expr(f"filter(_sample, (k, i) -> i % {SAMPLES_PER_RANGE} = 0)")
+    cuts = sample.groupBy(*group).agg(F.sort_array(F.collect_list("_key")).alias("_sample")).select(*group, every.alias("_cuts"))
+
+    def in_ranges(rows: DataFrame, how: str) -> DataFrame:
+        before = F.size(F.filter("_cuts", lambda c: c <= F.col("_key")))
+        # a group without cut points is one range
+        return beside(rows, cuts, group, how).withColumn("_range", F.when(F.col("_cuts").isNull(), 0).otherwise(before)).drop("_cuts")
+
+    counts = in_ranges(keyed.select(*group, "_key"), "inner").groupBy(*group, "_range").count()
+    earlier = W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    shifts = counts.select(*group, "_range", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_shift"))
     within = F.row_number().over(W.partitionBy(*group, "_range").orderBy("_key"))
-    numbered = (
-        ranged.withColumn("_within", within)
-        .join(F.broadcast(shifts), [*group, "_range"], "left")
-        .withColumn(name, (F.col("_within") + F.coalesce("_shift", F.lit(0))).cast("int"))
-    )
-    return numbered.select(*df.columns, name)
+    numbered = beside(in_ranges(keyed, "left").withColumn("_within", within), shifts, [*group, "_range"], "left")
+    return numbered.withColumn(name, (F.col("_within") + F.coalesce("_shift", F.lit(0))).cast("int")).select(*df.columns, name)
 
 
 def chunked(df: DataFrame, order: list[str], size: int, chunk: str) -> DataFrame:

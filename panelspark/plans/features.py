@@ -81,9 +81,7 @@ def fallback_index(indicators: DataFrame, regions: DataFrame | None = None) -> D
     if regions is None:
         single = single.filter(F.col("geo_code").isin([codes.NATION, *codes.REGION_CODES]))
     else:
-        named = region_lookup(regions).select(F.col("region").alias("geo_code")).filter(F.col("geo_code").isNotNull())
-        areas = named.unionByName(named.sparkSession.range(1).select(F.lit(codes.NATION).alias("geo_code"))).distinct()
-        single = single.join(F.broadcast(areas), "geo_code", "left_semi")
+        single = single.join(F.broadcast(fallback_areas(single, regions)), "geo_code", "left_semi")
     single = (
         single
         .groupBy("geo_code", "year")
@@ -94,6 +92,14 @@ def fallback_index(indicators: DataFrame, regions: DataFrame | None = None) -> D
     )
 
 
+def fallback_areas(like: DataFrame, regions: DataFrame | None) -> DataFrame:
+    """The areas whose prices others fall back on: the nation and at most 100 regions."""
+    if regions is None:
+        return like.sparkSession.createDataFrame([(c,) for c in [codes.NATION, *codes.REGION_CODES]], "geo_code string")
+    named = region_lookup(regions).select(F.col("region").alias("geo_code")).filter(F.col("geo_code").isNotNull())
+    return named.unionByName(named.sparkSession.range(1).select(F.lit(codes.NATION).alias("geo_code"))).distinct()
+
+
 def region_lookup(regions: DataFrame) -> DataFrame:
     """One region for each two-digit prefix: at most 100 rows."""
     return regions.filter(F.col("prefix").rlike(codes.STATE_PATTERN)).groupBy("prefix").agg(F.max("region").alias("region"))

@@ -19,10 +19,13 @@ from ..functions.guarded import number_or_null
 from ..operators.annual import annual_mean, annual_preferred, choose_canonical, decoded_series, stage_rollup
 from ..operators.panel import union_all
 from ..operators.quality import INDEX_RULES, POPULATION_RULES, RATE_RULES, split_by_rules, validation_report
-from ..operators.upsert import one_per_key, upsert
+from ..operators.upsert import append_if_absent, one_per_key, upsert
 from ..session import stored
-from ..sources.documents import latest_points
-from ..sources.snapshots import publish, read_snapshot
+from ..sources.audit import record_calls
+from ..sources.documents import ORDINAL, latest_points
+from ..sources.snapshots import path_exists, publish, read_snapshot
+from .features import POPULATION
+from .refresh import apply_facts
 
 GEOGRAPHY_SCHEMA = T.StructType(
     [
@@ -69,6 +72,8 @@ class Batch:
     changed_codes: list[str]
     rejected: DataFrame | None = None
     name: str | None = None
+    raw: tuple[str, DataFrame, list[str]] | None = None  # source, rows with their batch, keys
+    facts: DataFrame | None = None  # rows of core tables that the feature matrix may need
 
 
 def empty_core(spark: SparkSession) -> CoreTables:
@@ -100,18 +105,53 @@ def read_core(spark: SparkSession, root: str) -> CoreTables:
     )
 
 
-def _ordinal(rows: DataFrame) -> str | None:
-    """The column that says which of two rows came later, if the source carries one."""
-    return "ordinal" if "ordinal" in rows.columns else None
+def _last(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of several rows for a key the one that landed last, if the source says so."""
+    return one_per_key(rows, keys, ORDINAL, last=True).drop(ORDINAL) if ORDINAL in rows.columns else rows
 
 
-def publish_batch(before: CoreTables, batch: Batch, root: str) -> None:
-    """Write what the batch staged, rejected and reported, then the tables and codes it changed.
+def _raw(rows: DataFrame, batch: str) -> DataFrame:
+    return rows.withColumn("etl_batch_id", F.lit(batch))
 
-    The first three are folders of the batch, which a rerun replaces.
+
+def append_raw(spark: SparkSession, root: str, source: str, rows: DataFrame, keys: list[str]) -> None:
+    """Append raw rows whose keys their batch does not have yet; the first row of a key stays.
+
+    The batch is part of a row's identity and a folder of the table, so that only the
+    batch's own rows are read again.
+    """
+    path = f"{root}/raw/{source}"
+    order = ORDINAL if ORDINAL in rows.columns else None
+    fresh = one_per_key(rows, ["etl_batch_id", *keys], order, last=False).drop(ORDINAL)
+    if path_exists(spark, path):
+        batches = [r[0] for r in rows.select("etl_batch_id").distinct().collect()]  # those of one publication
+        known = spark.read.schema(fresh.schema).parquet(path).filter(F.col("etl_batch_id").isin(batches))
+        fresh = append_if_absent(known, fresh, ["etl_batch_id", *keys]).select(*fresh.columns)
+    fresh.write.mode("append").partitionBy("etl_batch_id").parquet(path)
+
+
+def publish_batch(
+    before: CoreTables,
+    batch: Batch,
+    root: str,
+    *,
+    calls: DataFrame | None = None,
+    regions: DataFrame | None = None,
+    floor_year: int = 2005,
+) -> None:
+    """Write what a batch landed, staged, rejected and reported, then the tables and codes it changed, then the features.
+
+    Raw rows and the log of calls (``calls``, if the collector gives them) only grow;
+    stage, quarantine and report are folders of the batch. A rerun of the batch replaces
+    those and changes nothing else. The feature matrix below ``features`` is brought up
+    to date for the areas that the batch changed.
     """
     after = batch.core
     spark = after.indicators.sparkSession
+    if calls is not None:
+        record_calls(spark, f"{root}/calls", calls)
+    if batch.raw is not None:
+        append_raw(spark, root, *batch.raw)
     if batch.name is not None:
         parts = {"stage": batch.staged, "quarantine": batch.rejected, "report": batch.report}
         for kind, rows in parts.items():
@@ -128,6 +168,18 @@ def publish_batch(before: CoreTables, batch: Batch, root: str) -> None:
     for code in batch.changed_codes:
         rows = after.indicators.filter(F.col("indicator_code") == code)
         publish(rows, f"{root}/indicators/{code}", sort_by=["geo_code", "year"])
+    if batch.facts is not None:
+        apply_facts(spark, f"{root}/features", batch.facts, regions, floor_year)
+
+
+def _facts(people: DataFrame | None, indicators: DataFrame | None) -> DataFrame:
+    """Core rows as facts of the feature matrix."""
+    parts = []
+    if people is not None:
+        parts.append(people.select("geo_code", "year", F.lit(POPULATION).alias("indicator_code"), F.col("population").cast("double").alias("value")))
+    if indicators is not None:
+        parts.append(indicators.select("geo_code", "year", "indicator_code", F.col("value").cast("double").alias("value")))
+    return union_all(parts)
 
 
 def merge_indicators(stored: DataFrame, rows: DataFrame, changed_codes: list[str], *, full: bool = False) -> DataFrame:
@@ -154,11 +206,9 @@ def _areas(rows: DataFrame) -> DataFrame:
 
 def load_surveys(core: CoreTables, staged: DataFrame, rows: DataFrame, batch: str) -> Batch:
     """Population rows of one or two surveys: canonical facts plus one mirror per survey."""
-    rows = stored(rows, "surveys")  # landed text is parsed once for facts, mirrors, areas, stage and report
-    rows, rejected = split_by_rules(rows.filter(F.col("population").isNotNull()), POPULATION_RULES)
-    order = _ordinal(rows)
-    if order is not None:  # of several rows of one source the last one counts
-        rows = one_per_key(rows, ["geo_code", "year", "source"], order, last=True).drop(order)
+    landed = stored(rows, "surveys")  # landed text is parsed once for raw rows, facts, mirrors, areas, stage and report
+    rows, rejected = split_by_rules(landed.filter(F.col("population").isNotNull()), POPULATION_RULES)
+    rows = _last(rows, ["geo_code", "year", "source"])
     canonical = choose_canonical(rows)
     mirrors = rows.select(
         "geo_code",
@@ -186,6 +236,8 @@ def load_surveys(core: CoreTables, staged: DataFrame, rows: DataFrame, batch: st
         mirror_codes,
         rejected,
         f"surveys-{batch}",
+        ("survey_rows", _raw(landed, batch), ["source", "year", "geo_code"]),
+        _facts(canonical, None),
     )
 
 
@@ -195,6 +247,8 @@ def load_unemployment(core: CoreTables, points: DataFrame, batch: str) -> Batch:
     Years that cannot be read, or whose values are all missing, never reach the
     core tables.
     """
+    landed = stored(points, "points")
+    points = _last(landed, ["series_id", "year", "period"])
     staged = decoded_series(annual_preferred(points)).withColumn("etl_batch_id", F.lit(batch))
     rates = stage_rollup(scan_batch(staged, batch)).filter(F.col("unrate").isNotNull() & F.col("year").isNotNull())
     rates, rejected = split_by_rules(rates.withColumn("value", F.col("unrate")), RATE_RULES)
@@ -219,6 +273,8 @@ def load_unemployment(core: CoreTables, points: DataFrame, batch: str) -> Batch:
         [codes.UNEMPLOYMENT],
         rejected,
         f"unemployment-{batch}",
+        ("points", _raw(landed, batch), ["series_id", "year", "period"]),
+        _facts(None, rows),
     )
 
 
@@ -230,6 +286,8 @@ def _nation_row(like: DataFrame) -> DataFrame:
 
 
 def load_national_unemployment(core: CoreTables, points: DataFrame, batch: str) -> Batch:
+    landed = stored(points, "points")
+    points = _last(landed, ["series_id", "year", "period"])
     staged = annual_preferred(points).withColumn("etl_batch_id", F.lit(batch))
     good, rejected = split_by_rules(staged.filter(F.col("value").isNotNull() & F.col("year").isNotNull()), RATE_RULES)
     rows = good.select(
@@ -252,12 +310,15 @@ def load_national_unemployment(core: CoreTables, points: DataFrame, batch: str)
         [codes.UNEMPLOYMENT],
         rejected,
         f"national-{batch}",
+        ("points", _raw(landed, batch), ["series_id", "year", "period"]),
+        _facts(None, rows),
     )
 
 
 def load_prices(core: CoreTables, observations: DataFrame, batch: str) -> Batch:
     """Yearly shelter price index of the nation and regions; other series stay staged only."""
-    numbered = observations.withColumn("number", number_or_null(F.col("raw_value")))
+    landed = stored(observations, "observations")
+    numbered = _last(landed, ["series_id", "obs_date"]).withColumn("number", number_or_null(F.col("raw_value")))
     staged = annual_mean(numbered, "series_id", "obs_date", "number").withColumn("etl_batch_id", F.lit(batch))
     placed = staged.withColumns(
         {
@@ -287,12 +348,17 @@ def load_prices(core: CoreTables, observations: DataFrame, batch: str) -> Batch:
         [codes.SHELTER_PRICES],
         rejected,
         f"prices-{batch}",
+        ("observations", _raw(landed, batch), ["series_id", "obs_date"]),
+        _facts(None, rows),
     )
 
 
 def load_baseline(core: CoreTables, population: DataFrame, rate_docs: DataFrame, batch: str) -> Batch:
-    """One survey population of the nation and the latest unemployment rate."""
-    people = population.filter(F.col("geo_code") == codes.NATION).select("geo_code", "year", "population")
+    """One survey population of the nation and the latest unemployment rate, under the same rules as the other loads."""
+    people, bad_people = split_by_rules(
+        population.filter((F.col("geo_code") == codes.NATION) & F.col("population").isNotNull()), POPULATION_RULES
+    )
+    people = _last(people, ["geo_code", "year"]).select("geo_code", "year", "population")
     people_rows = people.select(
         "geo_code",
         "year",
@@ -302,7 +368,8 @@ def load_baseline(core: CoreTables, population: DataFrame, rate_docs: DataFrame,
         F.lit("count").alias("unit"),
         F.lit(batch).alias("etl_batch_id"),
     )
-    rate_rows = latest_points(rate_docs).select(
+    rates, bad_rates = split_by_rules(latest_points(rate_docs).filter(F.col("value").isNotNull()), RATE_RULES)
+    rate_rows = rates.select(
         F.lit(codes.NATION).alias("geo_code"),
         "year",
         F.lit(codes.UNEMPLOYMENT).alias("indicator_code"),
@@ -312,9 +379,14 @@ def load_baseline(core: CoreTables, population: DataFrame, rate_docs: DataFrame,
         F.lit(batch).alias("etl_batch_id"),
     )
     changed = [codes.BASELINE_POPULATION, codes.UNEMPLOYMENT]
+    staged = people_rows.unionByName(rate_rows)
     after = replace(
         core,
         population=upsert(core.population, people, ["geo_code", "year"]),
-        indicators=merge_indicators(core.indicators, people_rows.unionByName(rate_rows), changed, full=True),
+        indicators=merge_indicators(core.indicators, staged, changed, full=True),
+    )
+    rejected = bad_people.select("geo_code", "year", F.col("population").cast("double").alias("value"), "broken_rules").unionByName(
+        bad_rates.select(F.lit(codes.NATION).alias("geo_code"), "year", "value", "broken_rules")
     )
-    return Batch(after, None, None, changed)
+    report = validation_report(staged, "baseline", "value", "value", "geo_code")
+    return Batch(after, staged, report, changed, rejected, f"baseline-{batch}", None, _facts(people, rate_rows))

@@ -9,7 +9,8 @@ from ..operators.regression import fit_linear
 from ..plans import ingest
 from ..sources import audit, documents as docs, files, models as stored_models, snapshots
 from ..plans.features import REGRESSORS
-from ..session import fresh_dir
+from ..plans.refresh import apply_facts, read_matrix
+from ..session import fresh_dir, stored
 from ..streaming.landing import ingest_landed
 from .base import query, r, rounded
 from .columns import MATRIX_DIGITS, MATRIX_SQL
@@ -119,6 +120,41 @@ def refresh_snapshot(spark, d):
     return rounded(snapshots.read_snapshot(spark, root).drop("has_full_features"), **MATRIX_DIGITS)
 
 
+@query("matrix_refresh", f"SELECT {MATRIX_SQL} FROM matrix")
+def matrix_refresh(spark, d):
+    """Three batches, the last of which corrects what the first two had wrong; only changed areas are recomputed."""
+    root, facts = fresh_dir(spark, "features"), stored(b.stacked_facts(spark, d), "facts")
+    even, odd = F.pmod(F.xxhash64("geo_code", "year", "indicator_code"), F.lit(2)) == 0, F.col("year") % 2 == 1
+    wrong = facts.withColumn("value", F.when(odd & even, F.col("value") + 1).otherwise(F.col("value")))
+    regions = b.regions(spark, d)
+    for part in (wrong.filter(even), facts.filter(~even), facts.filter(odd)):
+        apply_facts(spark, root, part, regions, b.FLOOR_YEAR)
+    return rounded(read_matrix(spark, root).drop("has_full_features"), **MATRIX_DIGITS)
+
+
+@query(
+    "audit_log",
+    """SELECT endpoint, count(*) AS calls FROM (SELECT DISTINCT o_orderpriority AS endpoint, o_custkey FROM orders) GROUP BY 1""",
+)
+def audit_log(spark, d):
+    """Calls of two files, each logged once; the second file reads only hashes of the folders it falls in."""
+    orders = b.table(spark, d, "orders")
+    calls = orders.select(
+        (F.col("o_orderkey") % 2).cast("string").alias("etl_batch_id"),
+        F.col("o_orderdate").alias("requested_at"),
+        F.col("o_orderpriority").alias("endpoint"),
+        F.create_map(F.lit("customer"), F.col("o_custkey").cast("string")).alias("params"),
+        F.lit(None).cast("map<string,string>").alias("payload"),
+        F.lit(200).alias("http_status"),
+        F.lit("{}").alias("response_json"),
+        F.lit(None).cast("string").alias("notes"),
+    )
+    path = fresh_dir(spark, "calls")
+    for batch in ("0", "1", "1"):
+        audit.record_calls(spark, path, calls.filter(F.col("etl_batch_id") == batch))
+    return spark.read.parquet(path).groupBy("endpoint").agg(F.count("*").alias("calls"))
+
+
 @query("sink_csv", "SELECT geo_code AS geo, source AS model, CAST(population AS DOUBLE) AS mae, CAST(NULL AS DOUBLE) AS mse, CAST(year AS DOUBLE) AS rmse FROM fx_survey")
 def sink_csv(spark, d):
     path = fresh_dir(spark, "metrics")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import append_if_absent
+from ..operators.upsert import append_if_absent, one_per_key
+from ..session import stored
+from .snapshots import path_exists
 
 # ---- Fixed values: parameter names that hold secrets ------------------------
 DROPPED_PARAMETERS = ["api_key", "key"]
@@ -59,6 +61,24 @@ def new_calls(log: DataFrame, calls: DataFrame) -> DataFrame:
     return append_if_absent(log, audit_rows(calls), ["request_hash"], order="requested_at")
 
 
+def record_calls(spark: SparkSession, path: str, calls: DataFrame) -> int:
+    """Append the calls that the log does not have; returns how many.
+
+    The log is cut into 256 folders by the first letters of the hash. A file of calls
+    reads only the folders it falls in, and of those only the hashes.
+    """
+    rows = stored(audit_rows(calls).withColumn("shard", F.substring("request_hash", 1, 2)), "calls")
+    fresh = rows
+    if path_exists(spark, path):
+        shards = [r[0] for r in rows.select("shard").distinct().collect()]  # at most 256
+        log = spark.read.schema(rows.schema).parquet(path).filter(F.col("shard").isin(shards))
+        known = log.select("shard", "request_hash")
+        fresh = rows.join(known, ["shard", "request_hash"], "left_anti").select(*rows.columns)
+    fresh = stored(one_per_key(fresh, ["request_hash"], "requested_at", last=False), "new_calls")
+    fresh.repartition("shard").write.mode("append").partitionBy("shard").parquet(path)
+    return fresh.count()
+
+
 def as_json(cols: list[str]) -> Column:
     return F.to_json(F.struct(*cols))
 

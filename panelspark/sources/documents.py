@@ -34,9 +34,31 @@ EMPTY_ROWS = T.StructType(
 )
 
 
-def read_documents(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
-    """Column ``doc`` plus any partition columns of the folder."""
-    return spark.read.text(path, wholetext=whole_file).withColumnRenamed("value", "doc")
+#: Where a document comes from, in the order in which documents landed.
+ORIGIN, ORDINAL = "origin", "ordinal"
+
+
+def read_documents(spark: SparkSession, path: str, whole_file: bool = False, origin: bool = False) -> DataFrame:
+    """Column ``doc`` plus any partition columns of the folder.
+
+    With ``origin`` each document also says where it is from: its file's time and name,
+    the block of the file, and its place among the block's documents. Rows parsed from
+    it then carry an ``ordinal``, by which a later row replaces an earlier one wherever
+    a shuffle has put them.
+    """
+    docs = spark.read.text(path, wholetext=whole_file)
+    if origin:
+        file = "_metadata.file_"
+        parts = [F.col(f"{file}modification_time"), F.col(f"{file}path"), F.col(f"{file}block_start")]
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place")
+        names = ("landed", "file", "block")
+        docs = docs.withColumn(ORIGIN, F.struct(*(p.alias(n) for p, n in zip(parts, names)), place))
+    return docs.withColumnRenamed("value", "doc")
+
+
+def _ordinal(docs: DataFrame, *places: str) -> list[Column]:
+    """The ordinal of a row at the given places within its document, if documents say where they are from."""
+    return [F.struct(ORIGIN, *places).alias(ORDINAL)] if ORIGIN in docs.columns else []
 
 
 def _split(parsed: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
@@ -56,10 +78,17 @@ def series_points(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(~F.col("parsed.status").eqNullSafe(F.lit(codes.REQUEST_OK)), "request failed")
     )
     good, bad = _split(parsed, reason)
-    kept = [c for c in docs.columns if c != "doc"]
-    series = good.select(*kept, F.explode("parsed.Results.series").alias("s"))
-    points = series.select(*kept, F.col("s.seriesID").alias("series_id"), F.explode("s.data").alias("o")).select(
-        *kept, "series_id", integer_or_null(F.col("o.year")).alias("year"), F.col("o.period").alias("period"), F.col("o.value").alias("value")
+    kept = [c for c in docs.columns if c not in ("doc", ORIGIN)]
+    origin = [c for c in docs.columns if c == ORIGIN]
+    series = good.select(*kept, *origin, F.posexplode("parsed.Results.series").alias("i", "s"))
+    each = series.select(*kept, *origin, "i", F.col("s.seriesID").alias("series_id"), F.posexplode("s.data").alias("j", "o"))
+    points = each.select(
+        *kept,
+        "series_id",
+        integer_or_null(F.col("o.year")).alias("year"),
+        F.col("o.period").alias("period"),
+        F.col("o.value").alias("value"),
+        *_ordinal(docs, "i", "j"),
     )
     return points, _without_parsed(bad)
 
@@ -105,7 +134,8 @@ def table_rows(docs: DataFrame, level: str, required: list[str] | None = None) -
         "state": cell("state"),
         "county": F.concat(cell("state"), cell("county")),
     }[level]
-    body = good.withColumn("row", F.explode(F.slice("parsed", F.lit(2), F.greatest(F.size("parsed") - 1, F.lit(0)))))
+    below = F.slice("parsed", F.lit(2), F.greatest(F.size("parsed") - 1, F.lit(0)))
+    body = good.select("*", F.posexplode(below).alias("i", "row"))
     rows = body.select(
         area.alias("geo_code"),
         cell(codes.NAME_VARIABLE).alias("geo_name"),
@@ -113,6 +143,7 @@ def table_rows(docs: DataFrame, level: str, required: list[str] | None = None) -
         F.col("year").cast("int").alias("year"),
         cell(codes.POPULATION_VARIABLE).try_cast("bigint").alias("population"),
         F.upper("survey").alias("source"),
+        *_ordinal(docs, "i"),
     )
     return rows, _without_parsed(bad)
 
@@ -125,7 +156,8 @@ def observations(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "no observations",
     )
     good, bad = _split(parsed, reason)
-    rows = good.select("series_id", F.explode("parsed.observations").alias("o")).select(
-        "series_id", date_or_null(F.col("o.date")).alias("obs_date"), F.col("o.value").alias("raw_value")
+    origin = [c for c in docs.columns if c == ORIGIN]
+    rows = good.select("series_id", *origin, F.posexplode("parsed.observations").alias("i", "o")).select(
+        "series_id", date_or_null(F.col("o.date")).alias("obs_date"), F.col("o.value").alias("raw_value"), *_ordinal(docs, "i")
     )
     return rows, _without_parsed(bad)

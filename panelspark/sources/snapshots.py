@@ -7,6 +7,7 @@ current, and readers never see files that are being replaced.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +19,46 @@ POINTER_SCHEMA = T.StructType(
 )
 
 
-def _pointers(spark: SparkSession, root: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
+class ConcurrentWrite(RuntimeError):
+    """Another writer has published since this one read the table."""
 
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at, files = _file_system(spark, path)
+    return files.exists(at)
+
+
+#: After so many milliseconds a number that was taken but never published is free again.
+STALE = 6 * 3600 * 1000
+
+
+def claim(spark: SparkSession, root: str, sequence: int) -> None:
+    """Take a sequence number for this writer alone; whoever comes second fails before its version is seen.
+
+    The number of a writer that died before it published is free again after STALE.
+    """
+    at, files = _file_system(spark, f"{root}/claims/{sequence}")
+    files.mkdirs(at.getParent())
+    if files.exists(at) and time.time() * 1000 - files.getFileStatus(at).getModificationTime() >= STALE:
+        files.delete(at, False)
     try:
-        return spark.read.schema(POINTER_SCHEMA).parquet(f"{root}/pointer")
-    except AnalysisException:
-        return None
+        won = files.createNewFile(at)
+    except Exception as error:  # some stores raise instead
+        raise ConcurrentWrite(f"{root}: version {sequence} is taken") from error
+    if not won:
+        raise ConcurrentWrite(f"{root}: version {sequence} is taken")
 
 
 def current_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    """Newest committed (sequence, version); one row, read by a top-1."""
-    pointers = _pointers(spark, root)
-    newest = pointers.orderBy(F.desc("sequence")).first() if pointers is not None else None
+    """Newest committed (sequence, version); one row, read by a top-1. None if nothing was ever published."""
+    if not path_exists(spark, f"{root}/pointer"):
+        return None
+    newest = spark.read.schema(POINTER_SCHEMA).parquet(f"{root}/pointer").orderBy(F.desc("sequence")).first()
     return (newest["sequence"], newest["version"]) if newest else None
 
 
@@ -46,7 +74,8 @@ def read_snapshot(spark: SparkSession, root: str, empty: T.StructType | None = N
 def publish(df: DataFrame, root: str, *, partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as the new current version and return it as read back.
 
-    Sorting within files by area and period lets later reads skip row groups.
+    Sorting within files by area and period lets later reads skip row groups. If another
+    writer publishes meanwhile, this one fails and may start again from the new version.
     """
     spark = df.sparkSession
     current = current_version(spark, root)
@@ -57,6 +86,7 @@ def publish(df: DataFrame, root: str, *, partition_by: list[str] | None = None,
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{root}/data/{version}")
     sequence = (current[0] if current else 0) + 1
+    claim(spark, root, sequence)
     pointer = spark.createDataFrame([(sequence, version)], POINTER_SCHEMA)
     pointer.coalesce(1).write.mode("append").parquet(f"{root}/pointer")
     return spark.read.parquet(f"{root}/data/{version}")

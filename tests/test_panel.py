@@ -109,6 +109,20 @@ def test_split_ranking_equals_plain_window(spark, hot):
     assert found.exceptAll(expected).count() == 0 and found.count() == len(data)
 
 
+def test_ranks_are_one_lazy_plan_and_include_null_groups(spark):
+    data = [(None if i % 3 == 0 else i % 2, (i * 7919) % 1000) for i in range(1000)]
+    df = spark.createDataFrame(data, "g int, v int")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranks", "no job while planning")
+    ranked = with_row_number(df, ["g"], [F.col("v")], "n", smallest_split=50)
+    assert list(jobs.getJobIdsForGroup("ranks")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    found = {(r.g, r.v): r.n for r in ranked.collect()}
+    for g in (None, 0, 1):
+        values = sorted(v for k, v in data if k == g)
+        assert [found[g, v] for v in values] == list(range(1, len(values) + 1))
+
+
 def test_chunks_follow_the_total_order(spark):
     df = spark.range(1234).withColumn("k", F.format_string("%05d", (F.col("id") * 37) % 1234))
     numbered = chunked(df, ["k"], 50, "chunk")
