@@ -14,6 +14,7 @@ from .functions import codes
 from .operators.panel import with_lags
 from .operators.ranking import chunked
 from .plans.features import joined_features, matrix_from_facts
+from .session import stored
 
 SEGMENTS = {"AUTOMOBILE": "001", "BUILDING": "002", "FURNITURE": "003", "HOUSEHOLD": "004", "MACHINERY": "005"}
 RUN_MODELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -341,6 +342,7 @@ def series_documents(spark: SparkSession, folder: str) -> DataFrame:
     docs = numbered.groupBy("chunk").agg(
         F.collect_list(F.struct(F.col("series_id").alias("seriesID"), "data")).alias("series")
     )
+    docs = stored(docs, "documents")  # read for the good documents and for the bad ones
     answer = F.struct(F.lit(codes.REQUEST_OK).alias("status"), F.struct("series").alias("Results"))
     good = docs.select(F.to_json(answer).alias("doc"))
     failed = docs.select(F.to_json(F.struct(F.lit("REQUEST_NOT_PROCESSED").alias("status"), F.col("chunk"))).alias("doc"))
