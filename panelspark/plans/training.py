@@ -33,10 +33,24 @@ FAMILIES = ["prophet", "linear", "ridge", "xgb"]
 
 
 def training_plan(
-    matrix: DataFrame, pointers: DataFrame, models: list[str], *, min_years: int = MIN_YEARS, force: bool = False
+    matrix: DataFrame,
+    pointers: DataFrame,
+    models: list[str],
+    *,
+    min_years: int = MIN_YEARS,
+    force: bool = False,
+    areas: list[str] | None = None,
+    skip: list[str] | None = None,
 ) -> DataFrame:
-    """Area and model pairs to train: enough years, and data that differs from the last run."""
-    qualified = qualifying_entities(matrix, min_years)
+    """Area and model pairs to train: enough years, and data that differs from the last run.
+
+    Named ``areas`` are taken instead of those with enough years; models to ``skip`` are left out.
+    """
+    models = [m for m in models if m not in (skip or [])]
+    if areas is not None:
+        qualified = matrix.filter(F.col("geo_code").isin(areas)).select("geo_code").distinct()
+    else:
+        qualified = qualifying_entities(matrix, min_years)
     live = fingerprint(matrix.join(qualified.select("geo_code"), "geo_code", "left_semi"), "geo_code", "year", HASHED_COLUMNS)
     return drift_todo(live, pointers, models, force)
 
@@ -120,6 +134,8 @@ def train_all(
     horizon: int = HORIZON,
     rounds: int = ROUNDS,
     force: bool = False,
+    areas: list[str] | None = None,
+    skip: list[str] | None = None,
     batch: str | None = None,
     keep_models: Callable[[DataFrame], None] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -128,18 +144,21 @@ def train_all(
     One job per family covers all its areas. ``keep_models`` receives the
     coefficients of each family with their run ids.
     """
-    models = models or FAMILIES
+    models = [m for m in models or FAMILIES if m not in (skip or [])]
+    if not models:
+        raise ValueError("no model is left to train")
     matrix = stored(matrix, "matrix")  # hashed, counted, fitted and scored from the same rows
-    todo = stored(training_plan(matrix, pointers, models, min_years=min_years, force=force), "todo")
+    plan = training_plan(matrix, pointers, models, min_years=min_years, force=force, areas=areas)
+    todo = stored(plan, "todo")
     batch = batch or uuid.uuid4().hex
     runs = run_rows(matrix, todo, features, split, horizon, batch)
     ids = todo.select(run_id_of(split, batch), "geo_code", "model")
     parts = []
     for model in models:
-        areas = todo.filter(F.col("model") == model).select("geo_code")
-        if areas.isEmpty():
+        due = todo.filter(F.col("model") == model).select("geo_code")
+        if due.isEmpty():
             continue
-        own = matrix.join(areas, "geo_code", "left_semi")
+        own = matrix.join(due, "geo_code", "left_semi")
         coefs, forecasts = train_family(own, model, features, split=split, horizon=horizon, rounds=rounds)
         if keep_models is not None:
             keep_models(coefs.join(ids, ["geo_code", "model"]))

@@ -354,9 +354,7 @@ def train_all(spark, d):
     )
     pointers = spark.createDataFrame([], "geo_code string, model string, data_hash string")
     people = matrix.select("geo_code", "year", "population")
-    runs, _, metrics = run_training(
-        matrix, people, pointers, REGRESSORS, split=SPLIT, horizon=HORIZON, rounds=2
-    )
+    runs, _, metrics = run_training(matrix, people, pointers, REGRESSORS, split=SPLIT, horizon=HORIZON)
     return runs.join(metrics, "run_id").select("geo_code", "model", "scope", "metric", "value", "train_rows", "test_rows")
 
 

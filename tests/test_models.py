@@ -233,6 +233,8 @@ def test_training_is_gated_by_the_data_hash(spark):
     nothing = spark.createDataFrame([], "geo_code string, model string, data_hash string")
     plan = training_plan(matrix, nothing, ["linear", "ridge"])
     assert plan.count() == 4 and training_plan(matrix, nothing, ["linear"], min_years=13).count() == 0
+    named = training_plan(matrix, nothing, ["linear", "ridge"], min_years=13, areas=["e1", "unknown"], skip=["ridge"])
+    assert [(r["geo_code"], r["model"]) for r in named.collect()] == [("e1", "linear")]
     done = plan.filter("geo_code = 'e0'").select("geo_code", "model", F.col("live_hash").alias("data_hash"))
     assert {r["geo_code"] for r in training_plan(matrix, done, ["linear", "ridge"]).collect()} == {"e1"}
     people = matrix.select("geo_code", "year", "population")
