@@ -19,6 +19,8 @@ from .words import Texts, Words
 PASSAGE = 48
 #: Dimensions of the latent space, and further ones that sharpen it.
 RANK, EXTRA = 128, 8
+#: Entries of a sparse row that are multiplied together.
+SPAN = 24
 #: Items that one search holds; larger benchmarks are searched block after block.
 ITEMS = 2000
 #: Latent cosine from which a passage is checked.
@@ -64,10 +66,17 @@ def passages(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def terms(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Index in the vocabulary, -1 for other words."""
-    at = np.searchsorted(vocabulary, hashes)
-    at[at == len(vocabulary)] = 0
-    return np.where(vocabulary[at] == hashes, at, -1)
+    """Index in the sorted vocabulary, -1 for other words; the leading bits of a hash lead near its place."""
+    bits = len(vocabulary).bit_length() + 2
+    shift = np.uint64(64 - bits)
+    edges = np.searchsorted(vocabulary >> shift, np.arange((1 << bits) + 1, dtype=np.uint64))
+    at = np.minimum(edges[hashes >> shift], len(vocabulary) - 1)
+    out = np.full(len(hashes), -1)
+    for _ in range(int(np.diff(edges).max())):
+        same = vocabulary[at] == hashes
+        out[same] = at[same]
+        at = np.minimum(at + 1, len(vocabulary) - 1)
+    return out
 
 
 def sparse(term: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndarray | None, size: int):
@@ -93,14 +102,26 @@ def scaled(row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int):
 
 
 def times(row: np.ndarray, column: np.ndarray, value: np.ndarray, dense: np.ndarray, rows: int) -> np.ndarray:
-    """The sparse matrix (sorted by row) times a dense one."""
+    """The sparse matrix (sorted by row) times a dense one.
+
+    Rows are cut into stretches of SPAN entries, so that a few stretches and the lines
+    they need stay in cache; the stretches of a row are added in the end.
+    """
     out = np.zeros((rows, dense.shape[1]), np.float32)
-    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
-    for a in range(0, len(first), 4096):  # the gathered rows stay small
-        low = first[a]
-        high = first[a + 4096] if a + 4096 < len(first) else len(row)
-        gathered = dense[column[low:high]] * value[low:high, None]
-        out[row[first[a : a + 4096]]] = np.add.reduceat(gathered, first[a : a + 4096] - low, axis=0)
+    if not len(row):
+        return out
+    count = np.bincount(row, minlength=rows)
+    many = -(-count // SPAN)
+    start = np.cumsum(many) - many
+    at = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+    place = (start[row] + at // SPAN, at % SPAN)
+    columns, values = np.zeros((many.sum(), SPAN), np.int64), np.zeros((many.sum(), SPAN), np.float32)
+    columns[place], values[place] = column, value
+    sums = np.empty((len(values), dense.shape[1]), np.float32)
+    for a in range(0, len(values), 128):
+        sums[a : a + 128] = np.matmul(values[a : a + 128, None], dense[columns[a : a + 128]])[:, 0]
+    some = np.flatnonzero(many)
+    out[some] = np.add.reduceat(sums, start[some], axis=0)
     return out
 
 
@@ -145,14 +166,7 @@ def gram_times(docs: DataFrame, text_col: str, vocabulary: np.ndarray, weight: n
             row, column, value = scaled(*sparse(terms(vocabulary, words.hashes()), start, end, weight, size), len(start))
             latent = times(row, column, value, dense, len(start))
             order = np.argsort(column, kind="stable")
-            row, column, value = row[order], column[order], value[order]
-            used, first = np.unique(column, return_index=True)
-            for a in range(0, len(used), 256):
-                low = first[a]
-                high = first[a + 256] if a + 256 < len(used) else len(column)
-                if high > low:
-                    part = latent[row[low:high]] * value[low:high, None]
-                    total[used[a : a + 256]] += np.add.reduceat(part, first[a : a + 256] - low, axis=0)
+            total += times(column[order], row[order], value[order], latent, size)
         some = np.flatnonzero(total.any(axis=1))
         for a in range(0, len(some), 1024):
             lines = [x.tobytes() for x in total[some[a : a + 1024]].astype(np.float32)]

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from panelspark.llm.decontaminate import check, leaks, longest_common
+from panelspark.llm.decontaminate import check, leaks, longest_common, terms, times
 
 DOCS, ITEMS = "doc_id long, text string, cosine double", "item_id long, text string"
 
@@ -30,6 +30,21 @@ def test_longest_common_subsequence():
     assert check(np.arange(10), np.array([0, 1, 2, 7, 8, 9])) == (0.6, True)
 
 
+def test_terms_and_sparse_products():
+    rng = np.random.default_rng(5)
+    for size in (1, 2, 700):
+        vocabulary = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64, endpoint=False))
+        asked = np.concatenate([rng.permutation(vocabulary), vocabulary + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+        where = {h: i for i, h in enumerate(vocabulary.tolist())}
+        assert terms(vocabulary, asked).tolist() == [where.get(h, -1) for h in asked.tolist()]
+    whole = rng.standard_normal((300, 90)) * (rng.random((300, 90)) < rng.random((300, 1)))
+    whole[[0, 7, 299]] = 0
+    dense = rng.standard_normal((90, 5)).astype(np.float32)
+    row, column = np.nonzero(whole)
+    assert np.allclose(times(row, column, whole[row, column].astype(np.float32), dense, 300), whole @ dense, atol=1e-4)
+    assert not times(row[:0], column[:0], whole[:0, 0], dense, 3).any()
+
+
 def test_planted_items_and_paraphrases(spark):
     rng = random.Random(4)
     items = [(i, " ".join(words(rng, rng.randint(14, 110)))) for i in range(40)]
