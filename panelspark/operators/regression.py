@@ -18,17 +18,6 @@ from pyspark.sql import types as T
 
 RANK_TOLERANCE = 1e-11
 
-# ---- Fixed values: interval width and trend priors -------------------------
-INTERVAL_Z = 1.2816
-CHANGEPOINT_PRIOR = 0.05
-TREND_PRIOR = 5.0
-REGRESSOR_PRIOR = 10.0
-CHANGEPOINT_RANGE = 0.8
-# -----------------------------------------------------------------------------
-FIRST_NOISE = 0.05   # share of the largest value
-LEAST_NOISE = 1e-4
-NOISE_ROUNDS = 6
-
 
 def _moments(features: list[str], target: str, over=None) -> list[Column]:
     """Row count, means, and upper triangle of centred sums, target last."""
@@ -181,104 +170,3 @@ def expanding_predictions(
             )
 
     return rows.mapInPandas(predict, schema)
-
-
-# ---- Trend with changepoints ------------------------------------------------
-
-
-def _trend_basis(df: DataFrame, period: str, changepoints: int) -> tuple[DataFrame, list[str]]:
-    """Scaled time and one hinge per changepoint, spread over the first part of training."""
-    t = (F.col(period) - F.col("t0")) / F.col("t_span")
-    names = ["t", *[f"hinge_{k}" for k in range(1, changepoints + 1)]]
-    knots = [CHANGEPOINT_RANGE * k / (changepoints + 1) for k in range(1, changepoints + 1)]
-    cols = {"t": t}
-    cols.update({n: F.greatest(F.lit(0.0), t - F.lit(knot)) for n, knot in zip(names[1:], knots)})
-    return df.withColumns(cols), names
-
-
-def fit_trend(
-    train: DataFrame, entity: str, period: str, target: str, regressors: list[str], changepoints: int = 5
-) -> DataFrame:
-    """Piecewise linear trend plus regressors, an approximation of a Bayesian
-    structural trend: Gaussian priors instead of Laplace ones on slope changes,
-    and the noise level found by a few rounds of fitting and measuring residuals.
-
-    Gives coefficients in data units, the time scale, and the residual deviation.
-    """
-    complete = train.dropna(subset=[target, *regressors])
-    scales = complete.groupBy(entity).agg(
-        F.min(period).cast("double").alias("t0"),
-        F.greatest(F.max(period) - F.min(period), F.lit(1)).cast("double").alias("t_span"),
-    )
-    based, trend = _trend_basis(complete.join(scales, entity), period, changepoints)
-    columns = [*trend, *regressors]
-    stats = based.groupBy(entity, "t0", "t_span").agg(*_moments(columns, target), F.max(F.abs(F.col(target))).alias("top"))
-    schema = T.StructType(
-        [
-            stats.schema[entity],
-            T.StructField("t0", T.DoubleType()),
-            T.StructField("t_span", T.DoubleType()),
-            T.StructField("coef", T.ArrayType(T.DoubleType())),
-            T.StructField("intercept", T.DoubleType()),
-            T.StructField("residual_std", T.DoubleType()),
-            T.StructField("train_rows", T.LongType()),
-        ]
-    )
-    width = len(columns) + 1
-    prior = np.array([TREND_PRIOR] + [CHANGEPOINT_PRIOR] * changepoints + [REGRESSOR_PRIOR] * len(regressors))
-    fixed_unit = np.array([True] * len(trend) + [False] * len(regressors))
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            full, means = _unpack(_stack(batch["sums"]), width), _stack(batch["means"])
-            n = batch["n"].to_numpy("float64")
-            top = np.maximum(batch["top"].to_numpy("float64"), 1e-300)
-            gram, cross = full[:, :-1, :-1], full[:, :-1, -1]
-            spread = np.sqrt(np.einsum("nii->ni", gram) / n[:, None])
-            unit = np.where(fixed_unit[None, :], 1.0, np.where(spread > 0, spread, 1.0))
-            noise = np.full(len(batch), FIRST_NOISE)
-            for _ in range(NOISE_ROUNDS):
-                penalty = (noise[:, None] / prior[None, :]) ** 2 * unit**2
-                coef = solve_centred(gram, cross, penalty)
-                sse = (
-                    full[:, -1, -1]
-                    - 2 * np.einsum("ni,ni->n", coef, cross)
-                    + np.einsum("ni,nij,nj->n", coef, gram, coef)
-                )
-                deviation = np.sqrt(np.maximum(sse, 0.0) / n)
-                noise = np.maximum(deviation / top, LEAST_NOISE)
-            yield pd.DataFrame(
-                {
-                    entity: batch[entity],
-                    "t0": batch["t0"],
-                    "t_span": batch["t_span"],
-                    "coef": list(coef),
-                    "intercept": means[:, -1] - np.einsum("ni,ni->n", coef, means[:, :-1]),
-                    "residual_std": deviation,
-                    "train_rows": batch["n"],
-                }
-            )
-
-    return stats.mapInPandas(solve, schema).withColumns(
-        {
-            "model": F.lit("prophet"),
-            "features": F.array(*[F.lit(c) for c in regressors]),
-            "changepoints": F.lit(changepoints),
-        }
-    )
-
-
-def score_trend(
-    df: DataFrame, coefs: DataFrame, entity: str, period: str, regressors: list[str], changepoints: int = 5
-) -> DataFrame:
-    """Point forecast and 80% interval for rows with the same regressors."""
-    joined = df.join(coefs.select(entity, "t0", "t_span", "coef", "intercept", "residual_std"), entity)
-    based, trend = _trend_basis(joined, period, changepoints)
-    margin = F.col("residual_std") * INTERVAL_Z
-    return (
-        based.withColumn("yhat", linear_score([*trend, *regressors]))
-        .withColumns({"yhat_lo": F.col("yhat") - margin, "yhat_hi": F.col("yhat") + margin})
-        .drop("t0", "t_span", "coef", "intercept", "residual_std", *trend)
-    )

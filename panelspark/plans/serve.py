@@ -10,7 +10,7 @@ from ..operators.forecast import COVERED, FUTURE, future_features, predict
 from ..operators.panel import densify, fill_mean, fill_neighbours, fill_zero
 from ..operators.ranking import top_per_group
 from ..operators.registry import best_model
-from ..operators.regression import score_trend
+from ..operators.trend import score_trend
 from ..session import stored
 
 # ---- Fixed values -------------------------------------------------------------

@@ -15,7 +15,8 @@ from ..operators.forecast import backcast_and_naive_future
 from ..operators.metrics import as_metric_rows, forecast_metrics
 from ..operators.panel import fingerprint, union_all
 from ..operators.registry import drift_todo, ensure_pointers, point_latest_and_best, qualifying_entities
-from ..operators.regression import fit_linear, fit_trend, score_trend
+from ..operators.regression import fit_linear
+from ..operators.trend import fit_trend, score_trend
 from ..operators.trees import TREE_MODEL, fit_trees
 from ..session import stored
 from ..sources.models import load_models, save_models

@@ -143,3 +143,86 @@ def roll_sql(
          coalesce(lag1, 0.0) AS pop_lag1, coalesce(lag5, 0.0) AS pop_lag5
   FROM {name}_r WHERE t > t0
 )"""
+
+
+def _unit_sql(kind: int, draws: int, events: int) -> str:
+    """(draw, event, u): the fixed numbers of one kind, by whole-number arithmetic."""
+    turned = f"SELECT d, i, (d * 1000003 + i * 7919 + {kind} * 104729 + 1) % 2147483647 AS x FROM range({draws}) a(d), range({events}) b(i)"
+    for _ in range(3):
+        turned = f"SELECT d, i, (x * x + 48271 * x + 11) % 2147483647 AS x FROM ({turned})"
+    return f"(SELECT d, i, (x + 0.5) / 2147483647 AS u FROM ({turned}))"
+
+
+def one_bend_sql(name: str, rows: str, first: int, last: int, draws: int = 1000, events: int = 256) -> str:
+    """Trend of population with one changepoint, its most probable slope and bend, and simulated intervals.
+
+    With a single bend the fit has a closed form for a given noise level; a recursion
+    alternates the two until they agree.
+    """
+    return f"""{name}_s AS (
+  SELECT entity, period, CAST(population AS DOUBLE) AS v, row_number() OVER (PARTITION BY entity ORDER BY period) - 1 AS rk,
+         count(*) OVER e * 4 // 5 AS early, min(period) OVER e AS t0, greatest(max(period) OVER e - min(period) OVER e, 1) AS span,
+         max(abs(population)) OVER e AS top
+  FROM {rows} WHERE population IS NOT NULL WINDOW e AS (PARTITION BY entity)
+),
+{name}_t AS (
+  SELECT *, (period - t0) / CAST(span AS DOUBLE) AS t, v / top AS y,
+         min(CASE WHEN early >= 2 AND rk = early - 1 THEN (period - t0) / CAST(span AS DOUBLE) END) OVER (PARTITION BY entity) AS knot
+  FROM {name}_s
+),
+{name}_h AS (SELECT *, CASE WHEN t > knot THEN t - knot ELSE 0.0 END AS h FROM {name}_t),
+{name}_m AS (
+  SELECT entity, count(*) AS n, any_value(t0) AS t0, any_value(span) AS span, any_value(top) AS top, any_value(knot) AS knot,
+         avg(t) AS mt, avg(h) AS mh, avg(y) AS my, covar_pop(t, t) * count(*) AS tt, covar_pop(t, h) * count(*) AS th,
+         covar_pop(h, h) * count(*) AS hh, covar_pop(t, y) * count(*) AS ty, covar_pop(h, y) * count(*) AS hy,
+         covar_pop(y, y) * count(*) AS yy
+  FROM {name}_h GROUP BY 1
+),
+{name}_r AS (
+  SELECT entity, 0 AS step, CAST(1.0 AS DOUBLE) AS v, CAST(0.0 AS DOUBLE) AS d, CAST(0.0 AS DOUBLE) AS k FROM {name}_m
+  UNION ALL
+  SELECT entity, step + 1, greatest(1e-8, 2 * sse / (n + sqrt(n * n + 16 * sse))), d, k
+  FROM (
+    SELECT *, greatest(0.0, yy - 2 * (k * ty + d * hy) + k * k * tt + 2 * k * d * th + d * d * hh) AS sse
+    FROM (
+      SELECT *, (ty - th * d) / (tt + v / 25) AS k
+      FROM (
+        SELECT entity, step, v, n, tt, th, hh, ty, hy, yy,
+               CASE WHEN step > 0 AND hh - th * th / (tt + v / 25) > 1e-12 * n
+                    THEN sign(hy - th * ty / (tt + v / 25)) * greatest(0.0, abs(hy - th * ty / (tt + v / 25)) - v / 0.05)
+                         / (hh - th * th / (tt + v / 25)) ELSE 0.0 END AS d
+        FROM {name}_r JOIN {name}_m USING (entity) WHERE step < 150
+      )
+    )
+  )
+),
+{name}_f AS (
+  SELECT entity, t0, span, top, knot, k, d, my - k * mt - d * mh AS level, sqrt(v) * top AS noise
+  FROM {name}_r JOIN {name}_m USING (entity) WHERE step = 150
+),
+{name}_e AS (
+  SELECT g.d AS draw, sum(-ln(g.u)) OVER (PARTITION BY g.d ORDER BY g.i) AS w,
+         -ln(s.u) * CASE WHEN o.u < 0.5 THEN -1 ELSE 1 END AS size
+  FROM {_unit_sql(3, draws, events)} g JOIN {_unit_sql(4, draws, events)} s USING (d, i) JOIN {_unit_sql(5, draws, events)} o USING (d, i)
+),
+{name}_z AS (
+  SELECT p.d AS draw, sqrt(-2 * ln(p.u)) * cos(2 * pi() * q.u) AS z
+  FROM {_unit_sql(1, draws, 1)} p JOIN {_unit_sql(2, draws, 1)} q USING (d, i)
+),
+{name}_p AS (
+  SELECT *, top * (level + k * t + d * CASE WHEN t > knot THEN t - knot ELSE 0.0 END) AS yhat, t > 1 AND d <> 0 AS ahead
+  FROM (SELECT *, (period - t0) / CAST(span AS DOUBLE) AS t
+        FROM {name}_f, (SELECT CAST(unnest(range({first}, {last + 1})) AS INTEGER) AS period) s)
+),
+{name}_c AS (
+  SELECT entity, period, draw, sum(size * (t - 1 - w)) AS bent
+  FROM {name}_p JOIN {name}_e ON w < t - 1 WHERE ahead GROUP BY 1, 2, 3
+),
+{name}_q AS (
+  SELECT entity, period, quantile_cont(abs(d) * top * coalesce(bent, 0) + noise * z, [0.1, 0.9]) AS q
+  FROM {name}_p CROSS JOIN {name}_z LEFT JOIN {name}_c USING (entity, period, draw) WHERE ahead GROUP BY 1, 2
+),
+{name} AS (
+  SELECT entity, period, yhat, yhat + coalesce(q[1], -1.2816 * noise) AS yhat_lo, yhat + coalesce(q[2], 1.2816 * noise) AS yhat_hi
+  FROM {name}_p LEFT JOIN {name}_q USING (entity, period)
+)"""

@@ -10,12 +10,13 @@ from ..operators import backtest as bt
 from ..operators import forecast as fc
 from ..operators import panel as p
 from ..operators.boosted import fit_boosted, score_boosted
-from ..operators.regression import fit_linear, fit_trend, score_trend
+from ..operators.regression import fit_linear
+from ..operators.trend import fit_trend, score_trend
 from ..plans.features import REGRESSORS
 from ..plans.training import train_all as run_training, train_family
 from ..session import checkpointed
 from .base import query, r, rounded
-from .model_sql import fit_sql, moments_sql, roll_sql, score_sql, solve_sql
+from .model_sql import fit_sql, moments_sql, one_bend_sql, roll_sql, score_sql, solve_sql
 
 SPLIT = 24000  # December 1999
 FIRST_TEST = 24001
@@ -103,6 +104,20 @@ def predict_trend(spark, d):
     return score_trend(filled, coefs, "entity", "period", REGRESSORS).select("entity", "period", "yhat", "yhat_lo", "yhat_hi")
 
 
+@query(
+    "trend_one_bend",
+    f"SELECT entity, period, {r('yhat', -1, 'yhat')}, {r('yhat_lo', -1, 'yhat_lo')}, {r('yhat_hi', -1, 'yhat_hi')} FROM bent",
+    ",\n" + TRAIN_SQL + ",\n" + one_bend_sql("bent", "mtrain", SPLIT - 11, SPLIT + 24),
+)
+def trend_one_bend(spark, d):
+    """Trend with one possible change of slope: a year of the past, two ahead with simulated intervals."""
+    train = _train(spark, d)
+    coefs = fit_trend(train, "entity", "period", "population", [], changepoints=1)
+    months = F.explode(F.sequence(F.lit(SPLIT - 11), F.lit(SPLIT + 24))).alias("period")
+    scored = score_trend(train.select("entity").distinct().select("entity", months), coefs, "entity", "period", [])
+    return rounded(scored, yhat=-1, yhat_lo=-1, yhat_hi=-1)
+
+
 FIT_SQL = ",\n" + TRAIN_SQL + ",\n" + fit_sql("fit", "mtrain", "entity", REGRESSORS, alpha=1.0)
 
 

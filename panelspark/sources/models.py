@@ -16,6 +16,9 @@ OPTIONAL_COLUMNS = {
     "run_id": "string",
     "t0": "double",
     "t_span": "double",
+    "bends": "array<struct<at:double,slope:double>>",
+    "bend_count": "int",
+    "bend_scale": "double",
     "residual_std": "double",
     "trees": "array<struct<feature:array<int>,threshold:array<double>,leaf:array<double>>>",
 }

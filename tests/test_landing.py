@@ -210,7 +210,7 @@ def test_prices_of_any_region(spark):
 
 
 def test_a_stored_trend_model_is_scored_as_a_trend(spark, tmp_path):
-    from panelspark.operators.regression import fit_trend
+    from panelspark.operators.trend import fit_trend
     from panelspark.plans.serve import predict_by_model
     from panelspark.sources.models import load_models, save_models
 

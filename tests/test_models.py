@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from panelspark.operators import backtest as bt
 from panelspark.operators import forecast as fc
 from panelspark.operators.boosted import fit_boosted, score_boosted
-from panelspark.operators.regression import fit_linear, fit_trend, score_trend
+from panelspark.operators.regression import fit_linear
+from panelspark.operators.trend import fit_trend, score_trend
 from panelspark.plans.features import REGRESSORS
 from panelspark.plans.training import record_training, serving_models, train_all, training_plan
 from panelspark.session import fresh_dir
