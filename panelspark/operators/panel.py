@@ -109,17 +109,22 @@ def recent_stats(df: DataFrame, entity: str, period: str, value: str, lookback:
     )
 
 
-def fingerprint(df: DataFrame, entity: str, period: str, cols: list[str], scale: int = 6, name: str = "data_hash") -> DataFrame:
-    """md5 of an entity's rows in period order: columns joined by ``|``, rows by a newline.
+def row_text(df: DataFrame, cols: list[str], scale: int = 6) -> Column:
+    """The columns of a row joined by ``|``, nulls marked.
 
-    Fractions are hashed as decimals, since engines print doubles differently.
+    Fractions become decimals, since engines print doubles differently.
     """
     numeric = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
     texts = [
         F.coalesce((F.col(c).cast(f"decimal(38,{scale})") if c in numeric else F.col(c)).cast("string"), F.lit("__NA__"))
         for c in cols
     ]
-    row = F.struct(F.col(period).alias("p"), F.concat_ws("|", *texts).alias("t"))
+    return F.concat_ws("|", *texts)
+
+
+def fingerprint(df: DataFrame, entity: str, period: str, cols: list[str], scale: int = 6, name: str = "data_hash") -> DataFrame:
+    """md5 of an entity's rows in period order: columns joined by ``|``, rows by a newline."""
+    row = F.struct(F.col(period).alias("p"), row_text(df, cols, scale).alias("t"))
     rows = F.transform(F.sort_array(F.collect_list(row)), lambda r: r["t"])
     return df.groupBy(entity).agg(F.md5(F.array_join(rows, "\n")).alias(name))
 

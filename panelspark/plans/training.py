@@ -13,6 +13,7 @@ from ..operators.backtest import is_train
 from ..operators.boosted import ROUNDS
 from ..operators.forecast import backcast_and_naive_future
 from ..operators.metrics import as_metric_rows, forecast_metrics
+from ..operators.hashtree import root_hashes
 from ..operators.panel import fingerprint, union_all
 from ..operators.registry import drift_todo, ensure_pointers, point_latest_and_best, qualifying_entities
 from ..operators.regression import fit_linear
@@ -42,12 +43,18 @@ def training_plan(
     force: bool = False,
     areas: list[str] | None = None,
     skip: list[str] | None = None,
+    leaves: DataFrame | None = None,
 ) -> DataFrame:
     """Area and model pairs to train: enough years, and data that differs from the last run.
 
     Named ``areas`` are taken instead of those with enough years; models to ``skip`` are left out.
+    With ``leaves``, the stored hashes of the matrix's blocks, the matrix is not read at all.
+    Their hashes differ from those of whole histories, so a root keeps to one kind.
     """
     models = [m for m in models if m not in (skip or [])]
+    if leaves is not None:
+        chosen = F.col("geo_code").isin(areas) if areas is not None else F.col("full_rows") >= min_years
+        return drift_todo(root_hashes(leaves, "geo_code").filter(chosen), pointers, models, force)
     if areas is not None:
         qualified = matrix.filter(F.col("geo_code").isin(areas)).select("geo_code").distinct()
     else:
@@ -137,6 +144,7 @@ def train_all(
     force: bool = False,
     areas: list[str] | None = None,
     skip: list[str] | None = None,
+    leaves: DataFrame | None = None,
     batch: str | None = None,
     keep_models: Callable[[DataFrame], None] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -148,9 +156,12 @@ def train_all(
     models = [m for m in models or FAMILIES if m not in (skip or [])]
     if not models:
         raise ValueError("no model is left to train")
-    matrix = stored(matrix, "matrix")  # hashed, counted, fitted and scored from the same rows
-    plan = training_plan(matrix, pointers, models, min_years=min_years, force=force, areas=areas)
+    if leaves is None:
+        matrix = stored(matrix, "matrix")  # hashed, counted, fitted and scored from the same rows
+    plan = training_plan(matrix, pointers, models, min_years=min_years, force=force, areas=areas, leaves=leaves)
     todo = stored(plan, "todo")
+    if leaves is not None:  # only areas that are due
+        matrix = stored(matrix.join(todo.select("geo_code").distinct(), "geo_code", "left_semi"), "matrix")
     batch = batch or uuid.uuid4().hex
     runs = run_rows(matrix, todo, features, split, horizon, batch)
     ids = todo.select(run_id_of(split, batch), "geo_code", "model")

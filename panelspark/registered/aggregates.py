@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import bindings as b
 from ..functions.guarded import number_or_null
 from ..operators import annual as a
+from ..operators import hashtree as h
 from ..operators import panel as p
 from ..operators import quality as q
 from ..operators.metrics import as_metric_rows, forecast_metrics as v1_metrics, regression_metrics as v2_metrics
@@ -230,6 +231,48 @@ def entity_fingerprint(spark, d):
     return p.fingerprint(rows, "geo_code", "year", ["year", "population", "pop_lag1", "pop_lag5", "unemployment_rate"])
 
 
+TREE_COLUMNS = ["year", "population", "pop_lag1", "unemployment_rate"]
+LEAF_LINES = """CAST(year AS VARCHAR) || '|' || CAST(CAST(population AS BIGINT) AS VARCHAR) || '|' ||
+  coalesce(CAST(CAST(pop_lag1 AS BIGINT) AS VARCHAR), '__NA__') || '|' ||
+  coalesce(CAST(CAST({rate} AS DECIMAL(38,6)) AS VARCHAR), '__NA__')"""
+LEAVES_SQL = """SELECT geo_code, CAST(floor(year / 2.0) * 2 AS INTEGER) AS block, md5(string_agg(%s, chr(10) ORDER BY year)) AS leaf,
+  count(*) AS rows, count(pop_lag1) AS full_rows FROM joined%s GROUP BY ALL"""
+RATE_BEFORE = "CASE WHEN year = 1996 AND geo_code LIKE '%3' THEN unemployment_rate + 1 ELSE unemployment_rate END"
+BLOCKS_SQL = (
+    ", live AS (" + LEAVES_SQL % (LEAF_LINES.format(rate="unemployment_rate"), " WHERE year <> 1994 OR geo_code NOT LIKE '%5'")
+    + "), known AS (" + LEAVES_SQL % (LEAF_LINES.format(rate=RATE_BEFORE), " WHERE year < 1998") + ")"
+)
+
+
+def _leaves(rows, rate="unemployment_rate"):
+    whole = rows.withColumns({c: F.col(c).cast("bigint") for c in ["population", "pop_lag1"]}).withColumn("unemployment_rate", F.expr(rate))
+    return h.leaf_hashes(whole, "geo_code", "year", TREE_COLUMNS, span=2, full=F.col("pop_lag1").isNotNull())
+
+
+@query(
+    "fingerprint_tree",
+    """SELECT geo_code, md5(string_agg(block || ':' || leaf, chr(10) ORDER BY block)) AS data_hash,
+       CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(full_rows) AS BIGINT) AS full_rows FROM leaves GROUP BY 1""",
+    ", leaves AS (" + LEAVES_SQL % (LEAF_LINES.format(rate="unemployment_rate"), "") + ")",
+)
+def fingerprint_tree(spark, d):
+    return h.root_hashes(_leaves(b.joined(spark, d)), "geo_code")
+
+
+@query(
+    "drifted_blocks",
+    """SELECT coalesce(l.geo_code, k.geo_code) AS geo_code, coalesce(l.block, k.block) AS block,
+       CASE WHEN k.leaf IS NULL THEN 'added' WHEN l.leaf IS NULL THEN 'removed' ELSE 'changed' END AS drift
+       FROM live l FULL JOIN known k ON l.geo_code = k.geo_code AND l.block = k.block WHERE l.leaf IS DISTINCT FROM k.leaf""",
+    BLOCKS_SQL,
+)
+def drifted_blocks(spark, d):
+    """Blocks that differ from an earlier state: years that came, years that went, and a revised rate."""
+    rows = b.joined(spark, d)
+    live = _leaves(rows.filter("year <> 1994 OR geo_code NOT LIKE '%5'"))
+    return h.drifted_blocks(live, _leaves(rows.filter("year < 1998"), RATE_BEFORE), "geo_code")
+
+
 @query(
     "extract_profile",
     """SELECT count(*) AS rows, count(*) FILTER (WHERE geo_type = 'state') AS states, count(*) FILTER (WHERE geo_type = 'county') AS counties,
