@@ -12,8 +12,8 @@ from ..functions.guarded import year_end
 from ..operators.backtest import is_train
 from ..operators.boosted import ROUNDS
 from ..operators.forecast import backcast_and_naive_future
-from ..operators.metrics import as_metric_rows, forecast_metrics
 from ..operators.hashtree import root_hashes
+from ..operators.metrics import as_metric_rows, forecast_metrics
 from ..operators.panel import fingerprint, union_all
 from ..operators.registry import drift_todo, ensure_pointers, point_latest_and_best, qualifying_entities
 from ..operators.regression import fit_linear
@@ -22,6 +22,7 @@ from ..operators.trees import TREE_MODEL, fit_trees
 from ..session import stored
 from ..sources.models import load_models, save_models
 from ..sources.snapshots import publish, read_snapshot
+from ..sources.variants import fields, parsed
 from .features import HASHED_COLUMNS
 from .serve import attach_actuals
 
@@ -219,6 +220,12 @@ def record_training(root: str, matrix: DataFrame, population: DataFrame, feature
     return count
 
 
+def run_settings(runs: DataFrame) -> DataFrame:
+    """Recorded runs with their parameters as Variant, and the features and penalty they name."""
+    wanted = {"used_features": ("$.features", "array<string>"), "alpha": ("$.alpha", "double")}
+    return fields(parsed(runs, "params"), "params", wanted)
+
+
 def serving_models(spark: SparkSession, root: str, run_ids: list[str] | None = None) -> DataFrame:
     """Coefficients of each area and model's best run, or of the given runs."""
     coefs = load_models(spark, f"{root}/models").dropDuplicates(["run_id"])

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from .. import bindings as b
 from ..operators.regression import fit_linear
 from ..plans import ingest
-from ..sources import audit, documents as docs, files, models as stored_models, snapshots
 from ..plans.features import REGRESSORS
 from ..plans.refresh import apply_facts, read_matrix
 from ..session import fresh_dir, stored
+from ..sources import audit, documents as docs, files, models as stored_models, snapshots, variants
 from ..streaming.landing import ingest_landed
 from .base import query, r, rounded
 from .columns import MATRIX_DIGITS, MATRIX_SQL
@@ -110,6 +110,37 @@ def json_params(spark, d):
     return events.select("event_id", k.alias("k"), audit.as_json(["event_type", "user_id"]).alias("params"))
 
 
+@query(
+    "variant_fields",
+    """SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_type END AS kind,
+         CASE WHEN user_id % 5 <> 0 AND event_id % 7 <> 0 THEN user_id END AS who,
+         TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CASE WHEN event_id % 7 = 0 THEN 'raw' ELSE '' END AS faults
+       FROM events""",
+)
+def variant_fields(spark, d):
+    """Two JSON columns parsed once and stored as Variant; every seventh document is cut short, some numbers are words."""
+    who = F.when(F.col("user_id") % 5 == 0, F.lit('"unknown"')).otherwise(F.col("user_id").cast("string"))
+    text = F.concat(F.lit('{"type":"'), "event_type", F.lit('","user":{"ids":['), who, F.lit("]}}"))
+    cut = F.when(F.col("event_id") % 7 == 0, F.substring(text, 1, 12)).otherwise(text)
+    docs = b.table(spark, d, "events").select("event_id", "props", cut.alias("raw"))
+    kept = stored(variants.parsed(docs, "raw", "props"), "variants")
+    rows = variants.fields(kept, "raw", {"kind": ("$.type", "string"), "who": ("$.user.ids[0]", "bigint")})
+    return rows.select("event_id", "kind", "who", variants.field("props", "$.k", "int").alias("k"), F.array_join("malformed", ",").alias("faults"))
+
+
+@query(
+    "variant_shapes",
+    """SELECT event_type, 'OBJECT<' || CASE WHEN max(event_id % 3) = 2 THEN 'id: BIGINT, ' ELSE '' END || 'k: BIGINT>' AS shape, count(*) AS documents
+       FROM events GROUP BY 1""",
+)
+def variant_shapes(spark, d):
+    """The common schema of each event type's documents, some of which carry an id."""
+    tail = F.concat(F.lit(', "id": '), F.col("event_id").cast("string"), F.lit("}"))
+    text = F.when(F.col("event_id") % 3 == 2, F.concat(F.rtrim("props", F.lit("}")), tail)).otherwise(F.col("props"))
+    docs = b.table(spark, d, "events").select("event_type", text.alias("doc"))
+    return variants.shapes(variants.parsed(docs, "doc"), "doc", ["event_type"])
+
+
 @query("refresh_snapshot", f"SELECT {MATRIX_SQL} FROM matrix")
 def refresh_snapshot(spark, d):
     """Publish the matrix twice; the second version is the one read back."""
